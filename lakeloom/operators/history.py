@@ -104,17 +104,6 @@ def update_dimension(source: DataFrame, target: DataFrame, roles: DimensionRoles
 # --- type 2 ---------------------------------------------------------------------------
 
 
-def change_rows(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
-    """The rows at which ``value`` differs from the row before it (the first row included):
-    the starts of the change groups, without numbering the groups."""
-    ordered = Window.partitionBy(*map(named, keys)).orderBy(named(order))
-    return (
-        df.withColumn("__before", F.lag(named(value)).over(ordered))
-        .filter(F.col("__before").isNull() | (F.col("__before") != named(value)))
-        .drop("__before")
-    )
-
-
 def change_groups(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
     """Add ``group_id``: how often ``value`` has changed up to a row of its key."""
     ordered = Window.partitionBy(*map(named, keys)).orderBy(named(order))
@@ -138,21 +127,50 @@ def _states(source: DataFrame, roles: HistoryRoles, unique: bool) -> DataFrame:
     return states.withColumn(roles.row_hash, row_hash(roles.tracked))
 
 
-def build_history(source: DataFrame, roles: HistoryRoles, unique: bool = False) -> DataFrame:
+def _days(states: DataFrame, day: str) -> DataFrame:
+    """Each snapshot day with the one after it: one row per day, so one window is enough."""
+    days = states.select(named(day).alias("__day")).distinct()
+    return days.withColumn("__next_day", F.lead("__day").over(Window.orderBy("__day")))
+
+
+def _versions(states: DataFrame, days: DataFrame | None, roles: HistoryRoles) -> DataFrame:
+    """Versions out of states (one per key and day, hashed): a version starts where the hash
+    changes, or where the key returns after a snapshot without it, and ends where the next one
+    starts or the key is first missing.  Without ``days`` a missing key is not noticed.
+
+    States that neither start nor end a version are dropped before the ends are looked up."""
+    day, change = named(roles.valid_from), named(roles.row_hash)
+    in_key = Window.partitionBy(*map(named, roles.primary_keys)).orderBy(day)
+    starts = F.lag(change).over(in_key).isNull() | (F.lag(change).over(in_key) != change)
+    gone = F.lit(None).cast("date")
+    if days is not None:
+        states = states.join(days, day == F.col("__day"), "left").drop("__day")
+        upcoming, next_day = F.lead(day).over(in_key), F.col("__next_day")
+        starts = starts | F.coalesce(F.lag(next_day).over(in_key) < day, F.lit(False))
+        gone = F.when(upcoming.isNull() | (upcoming > next_day), next_day)
+    marked = states.withColumn("__starts", starts).withColumn("__gone", gone)
+    marked = marked.filter(F.col("__starts") | F.col("__gone").isNotNull())
+    following = F.lead(F.when(F.col("__starts"), day).otherwise(F.col("__gone"))).over(in_key)
+    return (
+        marked.withColumn(roles.valid_to, F.coalesce("__gone", following, _open_end()))
+        .filter("__starts")
+        .withColumn(roles.is_current, named(roles.valid_to) == _open_end())
+        .drop("__starts", "__gone", "__next_day")
+    )
+
+
+def build_history(
+    source: DataFrame, roles: HistoryRoles, unique: bool = False, close_missing: bool = False
+) -> DataFrame:
     """All versions of every key from all its dated states.
 
-    A version starts where the hash changes and ends where the next one starts.  Say
-    ``unique`` where a key has one row per day, to save a shuffle.  Of the rows of a version
-    the first one is kept.  Keys missing on later dates are not closed."""
-    versions = change_rows(
-        _states(source, roles, unique), roles.primary_keys, roles.valid_from, roles.row_hash
-    )
-    in_key = Window.partitionBy(*map(named, roles.primary_keys)).orderBy(named(roles.valid_from))
-    following = F.lead(named(roles.valid_from)).over(in_key)
-    versions = versions.withColumn(roles.valid_to, F.coalesce(following, _open_end()))
-    versions = versions.withColumn(roles.is_current, named(roles.valid_to) == _open_end())
+    Of the rows of a version the first one is kept.  ``close_missing`` takes every day for a
+    whole snapshot and closes keys that a day lacks, as increments do; otherwise they stay
+    open.  Say ``unique`` where a key has one row per day, to save a shuffle."""
+    states = _states(source, roles, unique)
+    days = _days(states, roles.valid_from) if close_missing else None
     versions = number_rows(
-        versions, [*roles.primary_keys, roles.valid_from], roles.surrogate_key
+        _versions(states, days, roles), [*roles.primary_keys, roles.valid_from], roles.surrogate_key
     )
     return versions.select(
         *[named(c) for c in source.columns if c not in roles.generated],
@@ -284,3 +302,50 @@ def apply_snapshot(
 def update_history(source: DataFrame, target: DataFrame, roles: HistoryRoles) -> DataFrame:
     """``snapshot_updates`` of the source, applied to the target."""
     return apply_snapshot(snapshot_updates(source, roles), target, roles)
+
+
+def extend_history(
+    source: DataFrame, target: DataFrame, roles: HistoryRoles, mark: date
+) -> DataFrame:
+    """The target after *all* snapshots later than ``mark``, the last date it has loaded: the
+    result of applying them one by one, in a single pass over the new days.
+
+    The current rows stand for the state at ``mark``.  Their versions keep their rows and
+    keys and at most get an end; the other versions are new."""
+    fresh = source.filter(named(roles.date_key).cast("date") > F.lit(mark))
+    fresh = _states(fresh, roles, unique=False)
+    keys = list(roles.primary_keys)
+    at_mark = F.lit(mark).cast("date")
+    current = _current(target, roles)
+    carried = current.select(
+        *[at_mark.alias(c) if c == roles.valid_from else named(c) for c in target.columns]
+    )
+    states = carried.unionByName(fresh, allowMissingColumns=True)
+    days = fresh.select(named(roles.valid_from)).union(
+        current.sparkSession.range(1).select(at_mark)
+    )
+    versions = _versions(
+        states.drop(roles.valid_to, roles.is_current), _days(days, roles.valid_from), roles
+    )
+
+    is_carried = named(roles.valid_from) == at_mark
+    ends = versions.filter(is_carried).select(
+        *map(named, keys), named(roles.valid_to).alias("__end"), named(roles.is_current).alias("__on")
+    )
+    settled = current.join(ends, keys).select(
+        *[
+            F.col("__end").alias(c)
+            if c == roles.valid_to
+            else F.col("__on").alias(c)
+            if c == roles.is_current
+            else named(c)
+            for c in target.columns
+        ]
+    )
+    opened = number_rows(
+        versions.filter(~is_carried),
+        [*keys, roles.valid_from],
+        roles.surrogate_key,
+        start=max_surrogate(target, roles.surrogate_key).scalar(),
+    ).select(*[named(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
+    return _not_current(target, roles).unionByName(settled).unionByName(opened)

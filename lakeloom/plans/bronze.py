@@ -30,7 +30,8 @@ def _store(
     mark: str | None,
 ) -> str | None:
     if mark is None:
-        overwrite(df, target, [partition])
+        # Landed files lie by stamp already: a scan task writes few stamps, unshuffled.
+        overwrite(df, target, [partition], rebalance=False)
     else:
         replace_since(df, target, partition, mark)
     # Only the partition column is needed, so this reads no data.  Empty input keeps the mark.

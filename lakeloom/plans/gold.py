@@ -68,6 +68,7 @@ def update_history_table(
         newest = read_mark(rows, roles.date_key)
     else:
         held = read_table(spark, target, fmt=fmt)
+        held = held.withColumn(roles.valid_to, named(roles.valid_to).cast("date"))
         # Used three times below, and small against the history.
         updates = materialize(snapshot_updates(rows, roles), "snapshot")
         newest = read_mark(updates, roles.date_key)
@@ -76,5 +77,6 @@ def update_history_table(
             touched = held.filter(named(roles.valid_to).isin(*ends))
             highest = max_surrogate(held, roles.surrogate_key).first()[0]
             result = apply_snapshot(updates, touched, roles, start=highest)
-            overwrite_partitions(result, target, layout, fmt)
+            # Two partitions only, so every task writes two files at most: no rebalancing.
+            overwrite_partitions(result, target, layout, fmt, rebalance=False)
     return mark if newest is None else newest

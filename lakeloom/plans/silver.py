@@ -29,6 +29,13 @@ def silver_transform(df: DataFrame, roles: SilverRoles, strict: bool = False) ->
     return df.select(*map(named, roles.outputs))
 
 
+def default_write_method(roles: SilverRoles) -> str:
+    """The method that the declared keys suggest."""
+    if roles.batch_keys:
+        return "bk_merge"
+    return "pk_merge" if roles.primary_keys else "append"
+
+
 def write_silver(
     df: DataFrame,
     target: str,
@@ -73,7 +80,7 @@ def update_silver(
     source: str,
     target: str,
     roles: SilverRoles,
-    write_method: str,
+    write_method: str | None = None,
     partition: str = "partition",
     mark: Any = None,
     partitions_immutable: bool = False,
@@ -82,7 +89,9 @@ def update_silver(
     fmt: str = "parquet",
 ) -> Any:
     """Update a silver table from the bronze rows at or after ``mark``; returns the new mark.
-    A missing target, a missing mark or ``full_refresh`` overwrite the table from all rows."""
+    A missing target, a missing mark or ``full_refresh`` overwrite the table from all rows.
+    Without a write method the keys decide."""
+    write_method = write_method or default_write_method(roles)
     if full_refresh or mark is None or not table_exists(spark, target):
         mark, write_method = None, "overwrite"
     bronze = read_table(spark, source, partition, mark, fmt, evolved=True)

@@ -15,9 +15,11 @@ def extraction_stamp(stamp: str | Column | None = None, stamp_format: str = STAM
     return F.date_format(F.current_timestamp() if stamp is None else stamp, stamp_format)
 
 
-def _append(df: DataFrame, path: str, partition: str, fmt: str) -> None:
-    # Rebalancing gives each stamp few, evenly sized files and splits a big stamp.
-    df = df.hint("rebalance", F.col(partition))
+def _append(df: DataFrame, path: str, partition: str, fmt: str, many_stamps: bool) -> None:
+    # With one stamp every task writes one file and no shuffle is needed.  Rows that carry
+    # their own stamps are rebalanced: few, evenly sized files per stamp, big stamps split.
+    if many_stamps:
+        df = df.hint("rebalance", F.col(partition))
     df.write.mode("append").partitionBy(partition).format(fmt).save(path)
 
 
@@ -35,6 +37,7 @@ def land_text(
         path,
         partition,
         "text",
+        many_stamps=isinstance(stamp, Column),
     )
 
 
@@ -47,6 +50,5 @@ def land_rows(
     fmt: str = "parquet",
 ) -> None:
     """Append rows."""
-    _append(
-        df.withColumn(partition, extraction_stamp(stamp, stamp_format)), path, partition, fmt
-    )
+    stamped = df.withColumn(partition, extraction_stamp(stamp, stamp_format))
+    _append(stamped, path, partition, fmt, many_stamps=isinstance(stamp, Column))

@@ -2,7 +2,8 @@
 
 A table is a folder of parquet files (or of any other ``fmt`` Spark can write).  Partitioned
 writes are rebalanced by partition: few, evenly sized files, and a partition that holds much
-of the data is spread over many tasks.
+of the data is spread over many tasks.  That costs a shuffle; callers whose tasks each write
+to few partitions anyway switch it off.
 """
 
 from __future__ import annotations
@@ -20,8 +21,16 @@ from lakeloom.shared import materialize
 from lakeloom.sources.files import read_table, table_exists
 
 
-def _write(df: DataFrame, path: str, mode: str, partition_by: Sequence[str], fmt: str, **options):
-    if partition_by:
+def _write(
+    df: DataFrame,
+    path: str,
+    mode: str,
+    partition_by: Sequence[str],
+    fmt: str,
+    rebalance: bool = True,
+    **options: object,
+) -> None:
+    if partition_by and rebalance:
         df = df.hint("rebalance", *map(named, partition_by))
     writer = df.write.mode(mode).format(fmt).options(**options)
     if partition_by:
@@ -35,22 +44,27 @@ def overwrite(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
     reads_target: bool = False,
+    rebalance: bool = True,
 ) -> None:
     """Replace a table's data and schema.  A plan that reads the files it replaces is written
     to the shared folder first (``reads_target``), so a failure cannot lose the table."""
     if reads_target:
         df = materialize(df, "overwrite")
     _write(
-        df, path, "overwrite", partition_by, fmt,
+        df, path, "overwrite", partition_by, fmt, rebalance,
         overwriteSchema=True, partitionOverwriteMode="static",
     )
 
 
 def overwrite_partitions(
-    df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str],
+    fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> None:
     """Replace just the partitions that occur in ``df``; the plan may read them."""
-    _write(df, path, "overwrite", partition_by, fmt, partitionOverwriteMode="dynamic")
+    _write(df, path, "overwrite", partition_by, fmt, rebalance, partitionOverwriteMode="dynamic")
 
 
 def align_columns(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
@@ -95,12 +109,13 @@ def replace_since(
     df: DataFrame, path: str, partition: str, mark: str | None, fmt: str = "parquet"
 ) -> None:
     """Append stamps at or after the mark.  The mark is inclusive, so its own stamp is loaded
-    again; replacing whole stamps keeps its rows single and makes reruns safe."""
+    again; replacing whole stamps keeps its rows single and makes reruns safe.  Landed files
+    lie by stamp already, so nothing is shuffled."""
     df = since(df, partition, mark)
     spark = df.sparkSession
     if table_exists(spark, path):
         df = align_columns(df, read_table(spark, path, fmt=fmt, evolved=True).columns)
-    overwrite_partitions(df, path, [partition], fmt)
+    overwrite_partitions(df, path, [partition], fmt, rebalance=False)
 
 
 def copy_table(
