@@ -17,6 +17,7 @@ from lakeloom.operators.dedup import latest_per_key, require_unique
 from lakeloom.operators.filters import drop_null_keys, latest_snapshot
 from lakeloom.operators.keys import max_surrogate, number_rows
 from lakeloom.roles import DimensionRoles, HistoryRoles
+from lakeloom.shared import materialize
 
 
 def _open_end() -> Column:
@@ -300,8 +301,10 @@ def apply_snapshot(
 
 
 def update_history(source: DataFrame, target: DataFrame, roles: HistoryRoles) -> DataFrame:
-    """``snapshot_updates`` of the source, applied to the target."""
-    return apply_snapshot(snapshot_updates(source, roles), target, roles)
+    """``snapshot_updates`` of the source, applied to the target.  The updates are used three
+    times, so they are written once; a snapshot is small against the history."""
+    updates = materialize(snapshot_updates(source, roles), "snapshot")
+    return apply_snapshot(updates, target, roles)
 
 
 def extend_history(

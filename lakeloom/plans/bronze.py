@@ -5,12 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeloom.functions import named
 from lakeloom.functions.names import clean_names, stringify
 from lakeloom.functions.nested import flatten
-from lakeloom.operators.marks import read_mark
 from lakeloom.sources.files import read_json_files, read_parquet_files, table_exists
 from lakeloom.sources.sinks import overwrite, replace_since
 
@@ -21,21 +22,16 @@ def bronze_rows(
     return stringify(clean_names(flatten(df, mode, settings)))
 
 
-def _store(
-    spark: SparkSession,
-    df: DataFrame,
-    landed: DataFrame,
-    target: str,
-    partition: str,
-    mark: str | None,
-) -> str | None:
+def _store(df: DataFrame, target: str, partition: str, mark: str | None) -> str | None:
+    """Write, and take the new mark from the same pass.  Empty input keeps the old one."""
+    seen = Observation()
+    df = df.observe(seen, F.max(named(partition)).alias("newest"))
+    # Landed files lie by stamp already: a scan task writes few stamps, unshuffled.
     if mark is None:
-        # Landed files lie by stamp already: a scan task writes few stamps, unshuffled.
         overwrite(df, target, [partition], rebalance=False)
     else:
         replace_since(df, target, partition, mark)
-    # Only the partition column is needed, so this reads no data.  Empty input keeps the mark.
-    return read_mark(landed.select(partition), partition) or mark
+    return seen.get.get("newest") or mark
 
 
 def update_from_json(
@@ -56,7 +52,7 @@ def update_from_json(
         mark = None
     landed = read_json_files(spark, source, partition, mark, multi_line, schema)
     rows = bronze_rows(landed, flatten_mode, flatten_settings)
-    return _store(spark, rows, landed, target, partition, mark)
+    return _store(rows, target, partition, mark)
 
 
 def update_from_parquet(
@@ -71,4 +67,4 @@ def update_from_parquet(
     if full_refresh or not table_exists(spark, target):
         mark = None
     landed = read_parquet_files(spark, source, partition, mark)
-    return _store(spark, stringify(clean_names(landed)), landed, target, partition, mark)
+    return _store(stringify(clean_names(landed)), target, partition, mark)

@@ -15,6 +15,7 @@ from lakeloom.operators.filters import drop_null_keys, keep_flagged
 from lakeloom.operators.marks import read_mark
 from lakeloom.operators.merge import partition_predicate, replace_batches, upsert
 from lakeloom.roles import SilverRoles
+from lakeloom.shared import materialize
 from lakeloom.sources.files import read_table, table_exists
 from lakeloom.sources.sinks import append_strict, overwrite, overwrite_partitions
 
@@ -63,7 +64,8 @@ def write_silver(
     if not keys:
         raise ValueError(f"Write method {write_method!r} needs key columns.")
 
-    df = drop_null_keys(df, keys)
+    # The updates are used up to three times; they are as large as one increment.
+    df = materialize(drop_null_keys(df, keys), "updates")
     # Folder names lose the type of a partition column; the declared one is restored.
     held = df.sparkSession.read.format(fmt).load(target)
     held = held.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields])

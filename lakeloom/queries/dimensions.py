@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lakeloom.operators import history
+from lakeloom.operators import filters, history
+from lakeloom.plans import gold
 from lakeloom.queries import register
 from lakeloom.queries.inputs import (
     CUSTOMERS_SQL,
@@ -19,6 +20,8 @@ from lakeloom.queries.inputs import (
     incoming_customers,
     portable,
 )
+from lakeloom.shared import materialize, scratch_path
+from lakeloom.sources.files import read_table
 
 CUSTOMER_OUT = (
     "c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment, customer_sk"
@@ -53,7 +56,7 @@ def scd1_existing_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(history.existing_members(source, target, ["c_custkey"], "customer_sk"))
 
 
-@register(f"""
+SCD1_UPDATE_SQL = f"""
 WITH {CUSTOMERS_SQL}, fresh AS (
   SELECT *, (SELECT max(customer_sk) FROM dim) + row_number() OVER (ORDER BY c_custkey)
     AS customer_sk
@@ -62,7 +65,10 @@ SELECT dim.c_custkey, coalesce(incoming.c_name, dim.c_name) AS c_name,
   CAST(coalesce(incoming.c_nationkey, dim.c_nationkey) AS BIGINT) AS c_nationkey,
   coalesce(incoming.c_mktsegment, dim.c_mktsegment) AS c_mktsegment, customer_sk
 FROM dim LEFT JOIN incoming ON dim.c_custkey = incoming.c_custkey
-UNION ALL SELECT {CUSTOMER_OUT} FROM fresh""")
+UNION ALL SELECT {CUSTOMER_OUT} FROM fresh"""
+
+
+@register(SCD1_UPDATE_SQL)
 def scd1_update(spark: SparkSession, sf_dir: str) -> DataFrame:
     source, target = incoming_customers(spark, sf_dir), dimension(spark, sf_dir)
     return portable(history.update_dimension(source, target, DIMENSION))
@@ -91,7 +97,8 @@ UPDATE_OUT = """user_id, event_type, CAST(dt AS VARCHAR) AS dt, row_hash,
 
 
 def target_and_updates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    daily = daily_state(spark, sf_dir)
+    # Derived from raw events here; otherwise a table that each use below scans.
+    daily = materialize(daily_state(spark, sf_dir), "daily")
     target = history.build_history(before_last_day(daily), HISTORY, unique=True)
     return target, history.snapshot_updates(daily, HISTORY)
 
@@ -186,3 +193,28 @@ result AS (
 def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     target, updates = target_and_updates(spark, sf_dir)
     return portable(history.apply_snapshot(updates, target, HISTORY))
+
+
+@register(f"WITH {INCREMENT_SQL}, {INCREMENT_RESULT} SELECT {HISTORY_OUT} FROM result")
+def gold_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through tables: built from all days but the last, then extended by it."""
+    source, target = scratch_path(spark, "daily"), scratch_path(spark, "history")
+    daily = daily_state(spark, sf_dir)
+    before_last_day(daily).write.partitionBy("dt").parquet(source)
+    mark = gold.update_history_table(spark, source, target, HISTORY)
+    filters.latest_snapshot(daily, "dt").write.mode("append").partitionBy("dt").parquet(source)
+    gold.update_history_table(spark, source, target, HISTORY, mark)
+    columns = ["user_id", "event_type", "dt", *HISTORY.generated]
+    return portable(read_table(spark, target).select(*columns))
+
+
+@register(SCD1_UPDATE_SQL)
+def gold_dimension_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same through tables: built from the first source, then updated from another."""
+    first, second = scratch_path(spark, "customers"), scratch_path(spark, "customers")
+    target = scratch_path(spark, "dimension")
+    customers_with(spark, sf_dir, "1-URGENT").write.parquet(first)
+    incoming_customers(spark, sf_dir).write.parquet(second)
+    gold.update_dimension_table(spark, first, target, DIMENSION)
+    gold.update_dimension_table(spark, second, target, DIMENSION)
+    return portable(read_table(spark, target))
