@@ -128,10 +128,14 @@ def _states(source: DataFrame, roles: HistoryRoles, unique: bool) -> DataFrame:
     return states.withColumn(roles.row_hash, row_hash(roles.tracked))
 
 
-def _days(states: DataFrame, day: str) -> DataFrame:
-    """Each snapshot day with the one after it: one row per day, so one window is enough."""
-    days = states.select(named(day).alias("__day")).distinct()
-    return days.withColumn("__next_day", F.lead("__day").over(Window.orderBy("__day")))
+def _days(source: DataFrame, roles: HistoryRoles, mark: Column | None = None) -> DataFrame:
+    """Each snapshot day (``mark`` included) with the one after it.  One row per day, so one
+    window over all of them is enough."""
+    dated = drop_null_keys(source, [*roles.primary_keys, roles.date_key])
+    days = dated.select(named(roles.date_key).cast("date").alias("__day"))
+    if mark is not None:
+        days = days.distinct().union(source.sparkSession.range(1).select(mark))
+    return days.distinct().withColumn("__next_day", F.lead("__day").over(Window.orderBy("__day")))
 
 
 def _versions(states: DataFrame, days: DataFrame | None, roles: HistoryRoles) -> DataFrame:
@@ -169,7 +173,7 @@ def build_history(
     whole snapshot and closes keys that a day lacks, as increments do; otherwise they stay
     open.  Say ``unique`` where a key has one row per day, to save a shuffle."""
     states = _states(source, roles, unique)
-    days = _days(states, roles.valid_from) if close_missing else None
+    days = _days(source, roles) if close_missing else None
     versions = number_rows(
         _versions(states, days, roles), [*roles.primary_keys, roles.valid_from], roles.surrogate_key
     )
@@ -315,20 +319,16 @@ def extend_history(
 
     The current rows stand for the state at ``mark``.  Their versions keep their rows and
     keys and at most get an end; the other versions are new."""
-    fresh = source.filter(named(roles.date_key).cast("date") > F.lit(mark))
-    fresh = _states(fresh, roles, unique=False)
-    keys = list(roles.primary_keys)
-    at_mark = F.lit(mark).cast("date")
+    at_mark, keys = F.lit(mark).cast("date"), list(roles.primary_keys)
+    later = source.filter(named(roles.date_key).cast("date") > at_mark)
+    fresh = _states(later, roles, unique=False)
     current = _current(target, roles)
     carried = current.select(
         *[at_mark.alias(c) if c == roles.valid_from else named(c) for c in target.columns]
     )
     states = carried.unionByName(fresh, allowMissingColumns=True)
-    days = fresh.select(named(roles.valid_from)).union(
-        current.sparkSession.range(1).select(at_mark)
-    )
     versions = _versions(
-        states.drop(roles.valid_to, roles.is_current), _days(days, roles.valid_from), roles
+        states.drop(roles.valid_to, roles.is_current), _days(later, roles, at_mark), roles
     )
 
     is_carried = named(roles.valid_from) == at_mark

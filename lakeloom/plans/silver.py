@@ -16,7 +16,7 @@ from lakeloom.operators.marks import read_mark
 from lakeloom.operators.merge import partition_predicate, replace_batches, upsert
 from lakeloom.roles import SilverRoles
 from lakeloom.shared import materialize
-from lakeloom.sources.files import read_table, table_exists
+from lakeloom.sources.files import read_stamped, table_exists
 from lakeloom.sources.sinks import append_strict, overwrite, overwrite_partitions
 
 
@@ -96,7 +96,7 @@ def update_silver(
     write_method = write_method or default_write_method(roles)
     if full_refresh or mark is None or not table_exists(spark, target):
         mark, write_method = None, "overwrite"
-    bronze = read_table(spark, source, partition, mark, fmt, evolved=True)
+    bronze = read_stamped(spark, source, partition, mark, fmt)
     rows = silver_transform(bronze, roles, strict)
     write_silver(rows, target, roles, write_method, partitions_immutable, fmt)
     newest = read_mark(bronze, partition)

@@ -25,18 +25,24 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return any(not s.getPath().getName().startswith(".") for s in fs.listStatus(where))
 
 
-def stamps_since(spark: SparkSession, path: str, partition: str, mark: str) -> list[str]:
-    """The stamp folders of a landing area at or after ``mark`` (one per extraction)."""
+def stamp_folders(spark: SparkSession, path: str, partition: str) -> list[str]:
+    """The stamps found as ``partition=stamp`` folders, oldest first (one per extraction)."""
     fs, where = _folder(spark, path)
     prefix = f"{partition}="
     names = [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
-    stamps = sorted(n.removeprefix(prefix) for n in names if n.startswith(prefix))
-    if all(s.isdigit() for s in [*stamps, mark]):
+    stamps = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
+    return sorted(stamps, key=int) if all(map(str.isdigit, stamps)) else sorted(stamps)
+
+
+def folders_since(path: str, partition: str, stamps: list[str], mark: Any) -> list[str]:
+    """The folders of the stamps at or after ``mark``.  With nothing new the last one still
+    tells the schema; a filter on the stamp empties it."""
+    mark = str(mark)
+    if all(map(str.isdigit, [*stamps, mark])):
         kept = [s for s in stamps if int(s) >= int(mark)]
     else:
         kept = [s for s in stamps if s >= mark]
-    # With nothing new the last folder still tells the schema; the filter empties it.
-    return [f"{path}/{prefix}{s}" for s in kept or stamps[-1:]]
+    return [f"{path}/{partition}={s}" for s in kept or stamps[-1:]]
 
 
 def _scan(
@@ -56,7 +62,8 @@ def _scan(
     if not (partition and mark):
         df = reader.load(path)
     else:
-        df = reader.option("basePath", path).load(stamps_since(spark, path, partition, mark))
+        stamps = stamp_folders(spark, path, partition)
+        df = reader.option("basePath", path).load(folders_since(path, partition, stamps, mark))
     if partition and partition in df.columns:
         # Folder discovery guesses a number; the stamp is text.
         df = df.withColumn(partition, named(partition).cast(StringType()))
@@ -106,3 +113,19 @@ def read_table(
     with new columns, so their files' schemas are merged."""
     options = {"mergeSchema": True} if evolved else {}
     return since(spark.read.format(fmt).options(**options).load(path), column, mark)
+
+
+def read_stamped(
+    spark: SparkSession, path: str, partition: str, mark: Any = None, fmt: str = "parquet"
+) -> DataFrame:
+    """A bronze table from a mark on.  Its newest stamp has every column the table ever had,
+    so one folder tells the schema, and only the folders from the mark on are listed and read;
+    merging the schemas of all files would open the whole table for every increment."""
+    stamps = stamp_folders(spark, path, partition) if fmt == "parquet" else []
+    if not stamps:
+        return read_table(spark, path, partition, mark, fmt, evolved=True)
+    reader = spark.read.format(fmt).option("basePath", path)
+    reader = reader.schema(reader.load(f"{path}/{partition}={stamps[-1]}").schema)
+    if mark is None or mark == "":
+        return reader.load(path)
+    return since(reader.load(folders_since(path, partition, stamps, mark)), partition, mark)

@@ -18,7 +18,7 @@ from pyspark.sql.types import BooleanType, DataType, NumericType
 from lakeloom.functions import named
 from lakeloom.operators.filters import since
 from lakeloom.shared import materialize
-from lakeloom.sources.files import read_table, table_exists
+from lakeloom.sources.files import read_stamped, read_table, table_exists
 
 
 def _write(
@@ -94,14 +94,31 @@ def append_strict(
     _write(df, path, "append", partition_by, fmt)
 
 
+def _complete(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> DataFrame:
+    """The rows in the table's column order, with NULL for columns they no longer have: the
+    newest files of a table then always know all of its columns."""
+    spark = df.sparkSession
+    if not table_exists(spark, path):
+        return df
+    held = (
+        read_stamped(spark, path, partition_by[0], fmt=fmt)
+        if len(partition_by) == 1
+        else read_table(spark, path, fmt=fmt, evolved=True)
+    )
+    vanished = {
+        f.name: F.lit(None).cast(f.dataType)
+        for f in held.schema.fields
+        if f.name not in df.columns
+    }
+    return align_columns(df.withColumns(vanished), held.columns)
+
+
 def append_evolve(
     df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
 ) -> None:
     """Append; the table gains new columns and lacks vanished ones for the new rows.  Read
     such a table with ``read_table(..., evolved=True)``."""
-    spark = df.sparkSession
-    if table_exists(spark, path):
-        df = align_columns(df, read_table(spark, path, fmt=fmt, evolved=True).columns)
+    df = _complete(df, path, partition_by, fmt)
     _write(df, path, "append", partition_by, fmt, mergeSchema=True)
 
 
@@ -111,10 +128,7 @@ def replace_since(
     """Append stamps at or after the mark.  The mark is inclusive, so its own stamp is loaded
     again; replacing whole stamps keeps its rows single and makes reruns safe.  Landed files
     lie by stamp already, so nothing is shuffled."""
-    df = since(df, partition, mark)
-    spark = df.sparkSession
-    if table_exists(spark, path):
-        df = align_columns(df, read_table(spark, path, fmt=fmt, evolved=True).columns)
+    df = _complete(since(df, partition, mark), path, [partition], fmt)
     overwrite_partitions(df, path, [partition], fmt, rebalance=False)
 
 

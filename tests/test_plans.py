@@ -263,3 +263,31 @@ def test_numbering_uses_no_single_partition_for_rows(spark):
     singles = [i for i in range(len(text)) if text.startswith("Exchange SinglePartition", i)]
     # The only one gathers a row per partition, after the count.
     assert len(singles) == 1 and "partial_count" in text[singles[0]:]
+
+
+def test_hot_keys_are_split(spark):
+    """A third of all rows share a key: adaptive execution splits it over several tasks."""
+    hot = F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id"))
+    target = spark.range(300_000).select(hot.alias("k"), F.col("id").alias("v"))
+    batches = spark.range(1, 300_000, 2).select(F.col("id").alias("k"))
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {k: spark.conf.get(k, None) for k in settings}
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        kept = merge.delete_matching(target, batches, ["k"])
+        assert kept.filter("k = 0").count() == 100_000
+        kept.collect()
+        assert "skew=true" in plan(kept)
+        latest = dedup.latest_per_batch(target.withColumn("o", F.lit(1)), ["k"], ["o"])
+        assert len(latest.collect()) == 300_000
+        assert "skew=true" in plan(latest)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)

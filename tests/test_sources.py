@@ -139,3 +139,17 @@ def test_inventory_and_view(spark):
     view = tables.passthrough_view(spark.range(3), "three_rows")
     assert view.count() == 3
     assert "three_rows" in {r.table_name for r in tables.table_inventory(spark).collect()}
+
+
+def test_newest_stamp_knows_all_columns(spark, path):
+    first = spark.createDataFrame([(1, 2, "1")], "a int, b int, p string")
+    sinks.overwrite(first, path("t"), ["p"])
+    second = spark.createDataFrame([(3, 4, "2")], "c int, a int, p string")
+    sinks.replace_since(second, path("t"), "p", "2")
+    sinks.append_evolve(spark.createDataFrame([(5, "10")], "a int, p string"), path("t"), ["p"])
+    table = files.read_stamped(spark, path("t"), "p")
+    assert rows(table.select("a", "b", "c")) == [(1, 2, None), (4, None, 3), (5, None, None)]
+    news = files.read_stamped(spark, path("t"), "p", "2")
+    assert rows(news.select("a", "b", "c")) == [(4, None, 3), (5, None, None)]
+    assert all("p=1/" not in f for f in news.inputFiles())
+    assert files.read_stamped(spark, path("t"), "p", "99").count() == 0
