@@ -6,20 +6,26 @@ from collections.abc import Iterable, Mapping
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions import named
 
 
-def lookup_all(table: DataFrame, task_id: str) -> DataFrame:
-    """All settings of a task."""
-    return table.filter(F.col("task_id") == task_id)
+def lookup_all(table: DataFrame, tasks: str | DataFrame) -> DataFrame:
+    """All settings of a task, or of every task in a frame of ``task_id`` in one join."""
+    if isinstance(tasks, str):
+        return table.filter(F.col("task_id") == tasks)
+    return table.join(tasks.select("task_id"), "task_id", "left_semi").select(
+        *map(named, table.columns)
+    )
 
 
-def lookup_one(table: DataFrame, task_id: str) -> DataFrame:
-    """The settings row of a task; of several, the first in column order."""
-    return lookup_all(table, task_id).orderBy(*map(named, table.columns)).limit(1)
+def lookup_one(table: DataFrame, tasks: str | DataFrame) -> DataFrame:
+    """One settings row per task: of several, the first in column order."""
+    first = Window.partitionBy("task_id").orderBy(*map(named, table.columns))
+    found = lookup_all(table, tasks).withColumn("__row", F.row_number().over(first))
+    return found.filter("__row = 1").drop("__row")
 
 
 def resolve_params(
@@ -55,5 +61,9 @@ def job_tasks(jobs: DataFrame, job_id: int, tables: Mapping[str, DataFrame]) ->
         raise ValueError(f"No job {job_id}.")
     for name, table in tables.items():
         table.createOrReplaceTempView(name)
-    selected = jobs.sparkSession.sql(found[0].task_sql)
+    try:
+        selected = jobs.sparkSession.sql(found[0].task_sql)
+    finally:
+        for name in tables:
+            jobs.sparkSession.catalog.dropTempView(name)
     return selected.toDF("task_id").distinct()

@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 from lakeloom.functions import named
 from lakeloom.functions.names import clean_names, stringify
 from lakeloom.functions.nested import flatten
+from lakeloom.roles import is_true
 from lakeloom.sources.files import read_json_files, read_parquet_files, table_exists
 from lakeloom.sources.sinks import overwrite, replace_since
 
@@ -42,15 +43,15 @@ def update_from_json(
     mark: str | None = None,
     flatten_mode: str = "recursive",
     flatten_settings: str | Iterable[Mapping[str, Any]] = (),
-    multi_line: bool = False,
-    full_refresh: bool = False,
+    multi_line: bool | str = False,
+    full_refresh: bool | str = False,
     schema: StructType | str | None = None,
 ) -> str | None:
     """Load JSON documents from ``mark`` on, or all of them on a full refresh, for a new
     target, or without a mark."""
-    if full_refresh or not table_exists(spark, target):
+    if is_true(full_refresh) or not table_exists(spark, target):
         mark = None
-    landed = read_json_files(spark, source, partition, mark, multi_line, schema)
+    landed = read_json_files(spark, source, partition, mark, is_true(multi_line), schema)
     rows = bronze_rows(landed, flatten_mode, flatten_settings)
     return _store(rows, target, partition, mark)
 
@@ -61,10 +62,10 @@ def update_from_parquet(
     target: str,
     partition: str = "partition",
     mark: str | None = None,
-    full_refresh: bool = False,
+    full_refresh: bool | str = False,
 ) -> str | None:
     """Load parquet files likewise; nested columns become JSON text."""
-    if full_refresh or not table_exists(spark, target):
+    if is_true(full_refresh) or not table_exists(spark, target):
         mark = None
     landed = read_parquet_files(spark, source, partition, mark)
     return _store(stringify(clean_names(landed)), target, partition, mark)

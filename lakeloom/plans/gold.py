@@ -18,8 +18,8 @@ from lakeloom.operators.history import (
 )
 from lakeloom.operators.keys import max_surrogate
 from lakeloom.operators.marks import read_mark
-from lakeloom.roles import DimensionRoles, HistoryRoles
-from lakeloom.shared import materialize
+from lakeloom.roles import DimensionRoles, HistoryRoles, is_true
+from lakeloom.shared import materialize, scratch_tables
 from lakeloom.sources.files import read_table, table_exists
 from lakeloom.sources.sinks import overwrite, overwrite_partitions
 
@@ -31,17 +31,18 @@ def update_dimension_table(
     roles: DimensionRoles,
     partition: str | None = None,
     mark: Any = None,
-    full_refresh: bool = False,
+    full_refresh: bool | str = False,
     fmt: str = "parquet",
 ) -> Any:
     """Rebuild or update a type-1 dimension; returns the new mark."""
-    rebuild = full_refresh or not table_exists(spark, target)
+    rebuild = is_true(full_refresh) or not table_exists(spark, target)
     rows = read_table(spark, source, partition, None if rebuild else mark, fmt)
-    if rebuild:
-        overwrite(rebuild_dimension(rows, roles), target, fmt=fmt)
-    else:
-        held = read_table(spark, target, fmt=fmt)
-        overwrite(update_dimension(rows, held, roles), target, fmt=fmt, reads_target=True)
+    with scratch_tables(spark):
+        if rebuild:
+            overwrite(rebuild_dimension(rows, roles), target, fmt=fmt)
+        else:
+            held = read_table(spark, target, fmt=fmt)
+            overwrite(update_dimension(rows, held, roles), target, fmt=fmt, reads_target=True)
     newest = read_mark(rows, partition)
     return mark if newest is None else newest
 
@@ -52,7 +53,7 @@ def update_history_table(
     target: str,
     roles: HistoryRoles,
     mark: Any = None,
-    full_refresh: bool = False,
+    full_refresh: bool | str = False,
     fmt: str = "parquet",
 ) -> Any:
     """Build or extend a type-2 dimension; returns the newest date loaded.
@@ -61,22 +62,23 @@ def update_history_table(
     partition and all versions closed by one run in another.  An increment reads and rewrites
     just these two, however long the history is, and repeating it changes nothing."""
     layout = [roles.valid_to]
-    rows = read_table(spark, source, roles.date_key, mark, fmt)
-    if full_refresh or not table_exists(spark, target):
-        rows = read_table(spark, source, fmt=fmt)
-        overwrite(build_history(rows, roles), target, layout, fmt)
-        newest = read_mark(rows, roles.date_key)
-    else:
-        held = read_table(spark, target, fmt=fmt)
-        held = held.withColumn(roles.valid_to, named(roles.valid_to).cast("date"))
-        # Used three times below, and small against the history.
-        updates = materialize(snapshot_updates(rows, roles), "snapshot")
-        newest = read_mark(updates, roles.date_key)
-        if newest is not None:
-            ends = [F.lit(OPEN_END).cast("date"), F.lit(newest).cast("date")]
-            touched = held.filter(named(roles.valid_to).isin(*ends))
-            highest = max_surrogate(held, roles.surrogate_key).first()[0]
-            result = apply_snapshot(updates, touched, roles, start=highest)
-            # Two partitions only, so every task writes two files at most: no rebalancing.
-            overwrite_partitions(result, target, layout, fmt, rebalance=False)
+    with scratch_tables(spark):
+        if is_true(full_refresh) or not table_exists(spark, target):
+            rows = read_table(spark, source, fmt=fmt)
+            overwrite(build_history(rows, roles), target, layout, fmt)
+            newest = read_mark(rows, roles.date_key)
+        else:
+            rows = read_table(spark, source, roles.date_key, mark, fmt)
+            # Used three times below, and small against the history.
+            updates = materialize(snapshot_updates(rows, roles), "snapshot")
+            newest = read_mark(updates, roles.date_key)
+            if newest is not None:
+                held = read_table(spark, target, fmt=fmt)
+                held = held.withColumn(roles.valid_to, named(roles.valid_to).cast("date"))
+                ends = [F.lit(OPEN_END).cast("date"), F.lit(newest).cast("date")]
+                touched = held.filter(named(roles.valid_to).isin(*ends))
+                highest = max_surrogate(held, roles.surrogate_key).first()[0]
+                result = apply_snapshot(updates, touched, roles, start=highest)
+                # Two partitions only, so a task writes two files at most: no rebalancing.
+                overwrite_partitions(result, target, layout, fmt, rebalance=False)
     return mark if newest is None else newest

@@ -14,8 +14,8 @@ from lakeloom.operators.dedup import latest_per_batch, latest_per_key
 from lakeloom.operators.filters import drop_null_keys, keep_flagged
 from lakeloom.operators.marks import read_mark
 from lakeloom.operators.merge import partition_predicate, replace_batches, upsert
-from lakeloom.roles import SilverRoles
-from lakeloom.shared import materialize
+from lakeloom.roles import SilverRoles, is_true
+from lakeloom.shared import materialize, scratch_tables
 from lakeloom.sources.files import read_stamped, table_exists
 from lakeloom.sources.sinks import append_strict, overwrite, overwrite_partitions
 
@@ -64,17 +64,19 @@ def write_silver(
     if not keys:
         raise ValueError(f"Write method {write_method!r} needs key columns.")
 
-    # The updates are used up to three times; they are as large as one increment.
-    df = materialize(drop_null_keys(df, keys), "updates")
-    # Folder names lose the type of a partition column; the declared one is restored.
-    held = df.sparkSession.read.format(fmt).load(target)
-    held = held.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields])
-    if not (roles.partition_by and partitions_immutable):
-        return overwrite(merge(held, df), target, roles.partition_by, fmt, reads_target=True)
-    touched = partition_predicate(df, roles.partition_by)
-    if touched is not None:
-        merged = merge(held.filter(touched), df)
-        overwrite_partitions(merged, target, roles.partition_by, fmt)
+    with scratch_tables(df.sparkSession):
+        # The updates are used up to three times; they are as large as one increment.
+        df = materialize(drop_null_keys(df, keys), "updates")
+        held = df.sparkSession.read.format(fmt).load(target)
+        # Folder names lose the type of a partition column; the declared one is restored.
+        held = held.select(
+            *[named(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields]
+        )
+        if not (roles.partition_by and partitions_immutable):
+            overwrite(merge(held, df), target, roles.partition_by, fmt, reads_target=True)
+        elif (touched := partition_predicate(df, roles.partition_by)) is not None:
+            merged = merge(held.filter(touched), df)
+            overwrite_partitions(merged, target, roles.partition_by, fmt)
 
 
 def update_silver(
@@ -85,8 +87,8 @@ def update_silver(
     write_method: str | None = None,
     partition: str = "partition",
     mark: Any = None,
-    partitions_immutable: bool = False,
-    full_refresh: bool = False,
+    partitions_immutable: bool | str = False,
+    full_refresh: bool | str = False,
     strict: bool = False,
     fmt: str = "parquet",
 ) -> Any:
@@ -94,10 +96,10 @@ def update_silver(
     A missing target, a missing mark or ``full_refresh`` overwrite the table from all rows.
     Without a write method the keys decide."""
     write_method = write_method or default_write_method(roles)
-    if full_refresh or mark is None or not table_exists(spark, target):
+    if is_true(full_refresh) or mark is None or not table_exists(spark, target):
         mark, write_method = None, "overwrite"
     bronze = read_stamped(spark, source, partition, mark, fmt)
     rows = silver_transform(bronze, roles, strict)
-    write_silver(rows, target, roles, write_method, partitions_immutable, fmt)
+    write_silver(rows, target, roles, write_method, is_true(partitions_immutable), fmt)
     newest = read_mark(bronze, partition)
     return mark if newest is None else newest

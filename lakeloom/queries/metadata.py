@@ -115,25 +115,40 @@ def document_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("""
-SELECT 'task_json_to_delta:' || doc_id AS task_id,
-  'deltalake:w/s/tables/' || source || '/' || lang AS target_path,
-  'recursive' AS flatten_mode, 'false' AS full_refresh
-FROM documents WHERE doc_id = 7""")
-def metadata_lookup_one(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return metadata.lookup_one(document_tasks(spark, sf_dir), "task_json_to_delta:7")
-
-
-@register("""
-SELECT 'task_json_to_delta:' || conv_id AS task_id, turn AS depth, role AS "column"
-FROM conversations WHERE conv_id = 5""")
-def metadata_lookup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    settings = table(spark, sf_dir, "conversations").select(
+def flatten_settings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The settings of a task per conversation, one for each turn."""
+    return table(spark, sf_dir, "conversations").select(
         F.concat(F.lit("task_json_to_delta:"), "conv_id").alias("task_id"),
         F.col("turn").alias("depth"),
         F.col("role").alias("column"),
     )
-    return metadata.lookup_all(settings, "task_json_to_delta:5")
+
+
+def guided_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tasks to look up: conversations with a system turn."""
+    return flatten_settings(spark, sf_dir).filter(F.col("column") == "system").select("task_id")
+
+
+SETTINGS_SQL = """
+settings AS (
+  SELECT 'task_json_to_delta:' || conv_id AS task_id, turn AS depth, role AS "column"
+  FROM conversations),
+wanted AS (SELECT task_id FROM settings WHERE "column" = 'system')"""
+
+
+@register(f"""
+WITH {SETTINGS_SQL}
+SELECT * FROM settings WHERE task_id IN (SELECT task_id FROM wanted)
+QUALIFY row_number() OVER (PARTITION BY task_id ORDER BY depth, "column") = 1""")
+def metadata_lookup_one(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metadata.lookup_one(flatten_settings(spark, sf_dir), guided_tasks(spark, sf_dir))
+
+
+@register(f"""
+WITH {SETTINGS_SQL}
+SELECT * FROM settings WHERE task_id IN (SELECT task_id FROM wanted)""")
+def metadata_lookup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return metadata.lookup_all(flatten_settings(spark, sf_dir), guided_tasks(spark, sf_dir))
 
 
 @register("""

@@ -14,6 +14,11 @@ from typing import Any
 RoleRecords = str | Iterable[Mapping[str, Any]]
 
 
+def is_true(value: bool | str | None) -> bool:
+    """A yes-or-no parameter; metadata tables hold them as text."""
+    return str(value).strip().lower() == "true"
+
+
 def parse_records(records: RoleRecords) -> list[dict[str, Any]]:
     if isinstance(records, str):
         records = json.loads(records)

@@ -9,10 +9,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_dirs: dict[str, str] = {}
+_written: ContextVar[list[str] | None] = ContextVar("written", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -28,6 +33,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _local_dirs[app]
 
 
+def hadoop_path(spark: SparkSession, path: str) -> tuple[Any, Any]:
+    """The Hadoop file system and path object of a location."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that nothing has used yet."""
     return f"{shared_dir(spark)}/lakeloom/{label}-{uuid.uuid4().hex}"
@@ -37,4 +48,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the shared folder and return a scan of what was written."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
+    if (written := _written.get()) is not None:
+        written.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables materialized in the block at its end, once its result is stored.
+    After an error they stay: one may be the only whole copy of a table being replaced."""
+    written: list[str] = []
+    outer = _written.set(written)
+    try:
+        yield
+    finally:
+        _written.reset(outer)
+    for path in written:
+        fs, where = hadoop_path(spark, path)
+        fs.delete(where, True)

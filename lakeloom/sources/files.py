@@ -9,17 +9,12 @@ from pyspark.sql.types import StringType, StructType
 
 from lakeloom.functions import named
 from lakeloom.operators.filters import since
-
-
-def _folder(spark: SparkSession, path: str):
-    """The Hadoop file system and path object of a location."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+from lakeloom.shared import hadoop_path
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written at ``path``; a missing one forces a full refresh."""
-    fs, where = _folder(spark, path)
+    fs, where = hadoop_path(spark, path)
     if not fs.exists(where):
         return False
     return any(not s.getPath().getName().startswith(".") for s in fs.listStatus(where))
@@ -27,7 +22,7 @@ def table_exists(spark: SparkSession, path: str) -> bool:
 
 def stamp_folders(spark: SparkSession, path: str, partition: str) -> list[str]:
     """The stamps found as ``partition=stamp`` folders, oldest first (one per extraction)."""
-    fs, where = _folder(spark, path)
+    fs, where = hadoop_path(spark, path)
     prefix = f"{partition}="
     names = [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
     stamps = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]

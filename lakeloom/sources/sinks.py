@@ -17,7 +17,7 @@ from pyspark.sql.types import BooleanType, DataType, NumericType
 
 from lakeloom.functions import named
 from lakeloom.operators.filters import since
-from lakeloom.shared import materialize
+from lakeloom.shared import materialize, scratch_tables
 from lakeloom.sources.files import read_stamped, read_table, table_exists
 
 
@@ -48,12 +48,13 @@ def overwrite(
 ) -> None:
     """Replace a table's data and schema.  A plan that reads the files it replaces is written
     to the shared folder first (``reads_target``), so a failure cannot lose the table."""
-    if reads_target:
-        df = materialize(df, "overwrite")
-    _write(
-        df, path, "overwrite", partition_by, fmt, rebalance,
-        overwriteSchema=True, partitionOverwriteMode="static",
-    )
+    with scratch_tables(df.sparkSession):
+        if reads_target:
+            df = materialize(df, "overwrite")
+        _write(
+            df, path, "overwrite", partition_by, fmt, rebalance,
+            overwriteSchema=True, partitionOverwriteMode="static",
+        )
 
 
 def overwrite_partitions(

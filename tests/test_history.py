@@ -112,7 +112,7 @@ snapshots = st.lists(
 )
 
 
-@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@settings(max_examples=4, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(snapshots)
 def test_folded_increments_equal_the_full_build(spark, data):
     all_states = state(spark, *[(k, v, n) for n, s in enumerate(data, 1) for k, v in s.items()])

@@ -207,6 +207,9 @@ def test_lookups(spark):
     table = spark.createDataFrame([("a", 2), ("a", 1), ("b", 3)], "task_id string, n int")
     assert rows(metadata.lookup_one(table, "a")) == [("a", 1)]
     assert metadata.lookup_all(table, "a").count() == 2
+    both = spark.createDataFrame([("a",), ("b",), ("a",)], "task_id string")
+    assert rows(metadata.lookup_one(table, both)) == [("a", 1), ("b", 3)]
+    assert metadata.lookup_all(table, both).count() == 3
     assert metadata.lookup_one(table, "zz").count() == 0
 
 
@@ -220,6 +223,16 @@ def test_params(spark):
         metadata.resolve_params(static, dynamic, {"zz": 1})
 
 
+def test_job_tasks(spark):
+    jobs = spark.createDataFrame(
+        [(1, "raw", "select task_id from control_tasks where stage_name = 'raw'")],
+        METADATA_SCHEMAS["control_jobs"],
+    )
+    tasks = spark.createDataFrame([("a", "raw"), ("b", "raw"), ("c", "x")], "task_id string, stage_name string")
+    assert rows(metadata.job_tasks(jobs, 1, {"control_tasks": tasks})) == [("a",), ("b",)]
+    assert "control_tasks" not in {t.name for t in spark.catalog.listTables()}
+
+
 def test_unknown_job(spark):
     jobs = spark.createDataFrame([], METADATA_SCHEMAS["control_jobs"])
     with pytest.raises(ValueError):

@@ -4,6 +4,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom import shared
 from lakeloom.operators import dedup, filters, history, keys, merge
 from lakeloom.plans import bronze, gold, silver
 from lakeloom.roles import DimensionRoles, HistoryRoles, SilverRoles
@@ -179,6 +180,22 @@ def test_history_table_runs_are_repeatable_and_touch_two_partitions(spark, path)
     assert history_rows(spark, path)[0] == sorted([*expected, ("e", "1", 3, None)])
 
 
+def test_scratch_tables_go_when_the_result_is_stored(spark, path):
+    def scratch():
+        return set(Path(shared.shared_dir(spark), "lakeloom").glob("*"))
+
+    snapshot(spark, path, 1, a="1")
+    before = scratch()
+    mark = gold.update_history_table(spark, path("s"), path("h"), HISTORY)
+    snapshot(spark, path, 2, a="2")
+    gold.update_history_table(spark, path("s"), path("h"), HISTORY, mark)
+    assert scratch() == before
+    with pytest.raises(RuntimeError), shared.scratch_tables(spark):
+        shared.materialize(spark.range(1), "kept")
+        raise RuntimeError
+    assert len(scratch() - before) == 1
+
+
 def test_history_without_news(spark, path):
     snapshot(spark, path, 1, a="1")
     mark = gold.update_history_table(spark, path("s"), path("h"), HISTORY)
