@@ -27,6 +27,8 @@ def clean_name(name: str) -> str:
 
 def clean_names(df: DataFrame) -> DataFrame:
     names = [clean_name(n) for n in df.columns]
+    if nameless := [old for old, new in zip(df.columns, names) if not new]:
+        raise ValueError(f"Nothing would be left of the names {nameless}.")
     require_distinct(names)
     return df.toDF(*names)
 

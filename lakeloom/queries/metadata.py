@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from lakeloom.constants import METADATA_SCHEMAS
 from lakeloom.functions import paths
 from lakeloom.operators import lineage, marks, metadata
+from lakeloom.plans import control
 from lakeloom.queries import register
 from lakeloom.queries.inputs import table
 
@@ -56,22 +57,19 @@ edges AS (
   LEFT JOIN chosen AS p ON p.conv_id = c.conv_id AND p.turn = c.turn - n)"""
 
 
-def chosen_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    jobs = spark.createDataFrame(
+def control_jobs(spark: SparkSession) -> DataFrame:
+    return spark.createDataFrame(
         [
             (1, "active_tasks", "select task_id from control_tasks where is_active"),
             (2, "user_tasks", "select task_id from control_tasks where stage_name = 'user'"),
         ],
         METADATA_SCHEMAS["control_jobs"],
     )
-    return metadata.job_tasks(jobs, 1, {"control_tasks": control_tasks(spark, sf_dir)})
 
 
-def edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    targets = metadata.task_targets([control_tasks(spark, sf_dir)])
-    return lineage.lineage_edges(
-        chosen_tasks(spark, sf_dir), targets, dataset_lineage(spark, sf_dir)
-    )
+def chosen_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = {"control_tasks": control_tasks(spark, sf_dir)}
+    return metadata.job_tasks(control_jobs(spark), 1, tables)
 
 
 @register(f"WITH {TASKS_SQL} SELECT task_id FROM chosen")
@@ -81,7 +79,10 @@ def job_task_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"WITH {TASKS_SQL} SELECT task_id, parent_id FROM edges")
 def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return edges(spark, sf_dir)
+    targets = metadata.task_targets([control_tasks(spark, sf_dir)])
+    return lineage.lineage_edges(
+        chosen_tasks(spark, sf_dir), targets, dataset_lineage(spark, sf_dir)
+    )
 
 
 @register(f"""
@@ -93,7 +94,10 @@ SELECT task_id, split_part(task_id, ':', 1) AS pipeline_id,
   CAST(max(n) AS BIGINT) AS batch_num, 'ok' AS task_status
 FROM levels GROUP BY task_id""")
 def lineage_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    levels = lineage.lineage_levels(edges(spark, sf_dir))
+    tasks = control_tasks(spark, sf_dir)
+    levels = control.job_levels(
+        control_jobs(spark), 1, {"control_tasks": tasks}, [tasks], dataset_lineage(spark, sf_dir)
+    )
     return levels.withColumn("batch_num", F.col("batch_num").cast("bigint"))
 
 

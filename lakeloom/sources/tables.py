@@ -19,3 +19,9 @@ def passthrough_view(df: DataFrame, name: str) -> DataFrame:
     """A named view of a table, unchanged."""
     df.createOrReplaceTempView(name)
     return df.sparkSession.table(name)
+
+
+def permanent_view(spark: SparkSession, name: str, source: str) -> DataFrame:
+    """A catalog view of ``source``: a table name, or files as ``parquet.`path```."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM {source}")
+    return spark.table(name)

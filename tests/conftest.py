@@ -17,6 +17,7 @@ def spark():
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="lakeloom-tests-"))
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="lakeloom-warehouse-"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "8g")

@@ -22,6 +22,11 @@ def test_clean_names_and_collisions(spark):
         names.clean_names(spark.createDataFrame([(1, 2)], ["a.b", "a_b"]))
 
 
+def test_names_that_vanish_are_refused(spark):
+    with pytest.raises(ValueError):
+        names.clean_names(spark.createDataFrame([(1,)], ["!?"]))
+
+
 def test_stringify(spark):
     df = spark.sql("select 1 a, array(1, 2) b, map('k', 1) c, named_struct('x', 1) d, date'2024-01-02' e")
     assert rows(names.stringify(df)) == [("1", "[1,2]", '{"k":1}', '{"x":1}', "2024-01-02")]
@@ -77,6 +82,22 @@ def test_null_struct_gives_null_fields(spark):
     assert rows(nested.flatten_all(df)) == [(1,), (None,)]
 
 
+def test_a_document_as_a_service_gives_it(spark):
+    document = spark.sql("""
+      select '7' id, 'oran' name, named_struct('name', 'hard', 'url', 'u1') firmness,
+        array(named_struct('potency', '10', 'flavor', named_struct('name', 'dry', 'url', 'u2')),
+              named_struct('potency', '0', 'flavor', named_struct('name', 'hot', 'url', 'u3'))) flavors
+    """)
+    flat = nested.flatten_all(document)
+    assert flat.columns == [
+        "id", "name", "firmness_name", "firmness_url",
+        "flavors_potency", "flavors_flavor_name", "flavors_flavor_url",
+    ]
+    assert rows(flat.drop("id", "name", "firmness_url")) == [
+        ("hard", "0", "hot", "u3"), ("hard", "10", "dry", "u2"),
+    ]
+
+
 # --- typed ---
 
 

@@ -3,6 +3,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
+from lakeloom.plans import maintenance
 from lakeloom.sources import files, landing, sinks, tables
 
 
@@ -153,3 +154,24 @@ def test_newest_stamp_knows_all_columns(spark, path):
     assert rows(news.select("a", "b", "c")) == [(4, None, 3), (5, None, None)]
     assert all("p=1/" not in f for f in news.inputFiles())
     assert files.read_stamped(spark, path("t"), "p", "99").count() == 0
+
+
+def test_permanent_view_and_catalog_compaction(spark, path):
+    df = spark.range(20).withColumn("p", F.col("id") % 2)
+    df.repartition(5).write.partitionBy("p").saveAsTable("small_files")
+    spark.sql("create database if not exists other")
+    try:
+        view = tables.permanent_view(spark, "same_rows", "small_files")
+        assert view.count() == 20
+        before = len(spark.table("small_files").inputFiles())
+        maintenance.compact_catalog_tables(spark, ["default.small_files"])
+        assert rows(spark.table("small_files")) == rows(df)
+        assert len(spark.table("small_files").inputFiles()) == 2 < before
+        names = {r.table_name.removeprefix("spark_catalog.") for r in tables.table_inventory(spark).collect()}
+        assert {"default.small_files", "default.same_rows"} <= names
+        sinks.overwrite(df, path("t"))
+        assert tables.permanent_view(spark, "same_rows", f"parquet.`{path('t')}`").count() == 20
+    finally:
+        spark.sql("drop view if exists same_rows")
+        spark.sql("drop table small_files")
+        spark.sql("drop database other")
