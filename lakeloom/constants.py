@@ -8,6 +8,19 @@ HASH_SEPARATOR = "||"
 HASH_NULL = "∅"
 HASH_BITS = 256
 
+# Characters that clean column names lose; dots become underscores first.
+UNCLEAN_NAME_CHARACTERS = r"[^0-9A-Za-z_]"
+
+# Logical path types with a layout, types known without one, and the roots of stored paths.
+FILES_TYPE = "lakefiles"
+TABLE_TYPE = "deltalake"
+WAREHOUSE_TYPE = "warehouse"
+NOT_IMPLEMENTED_TYPES = ("database", "eventhouse")
+API_FILES_ROOT = "/lakehouse/default/Files/"
+FILES_ROOT = "Files/"
+TABLES_ROOT = "Tables/"
+STORE_SUFFIX = ".Lakehouse/"
+
 # Extraction stamp of landed files and the date-time text understood by the shorthands.
 STAMP_FORMAT = "yyyyMMddHHmmss"
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"

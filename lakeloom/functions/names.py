@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StringType, StructType, VariantType
 
+from lakeloom.constants import UNCLEAN_NAME_CHARACTERS
 from lakeloom.functions import named
 
 NESTED = (ArrayType, MapType, StructType, VariantType)
@@ -22,7 +23,7 @@ def require_distinct(names: list[str]) -> None:
 
 def clean_name(name: str) -> str:
     """Dots become underscores; anything but letters, digits and underscores goes."""
-    return re.sub(r"[^0-9A-Za-z_]", "", name.replace(".", "_"))
+    return re.sub(UNCLEAN_NAME_CHARACTERS, "", name.replace(".", "_"))
 
 
 def clean_names(df: DataFrame) -> DataFrame:

@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-PATH_PARTS = (
-    "path_type",
-    "workspace",
-    "store",
-    "area",
-    "schema_name",
-    "table_name",
-    "directory",
-    "path_status",
+from lakeloom.constants import (
+    API_FILES_ROOT,
+    FILES_ROOT,
+    FILES_TYPE,
+    NOT_IMPLEMENTED_TYPES,
+    STORE_SUFFIX,
+    TABLE_TYPE,
+    TABLES_ROOT,
+    WAREHOUSE_TYPE,
 )
 
 
@@ -22,7 +22,9 @@ def split_paths(df: DataFrame, path: str) -> DataFrame:
     text = F.col(path)
     kind = F.lower(F.substring_index(text, ":", 1))
     pieces = F.split(F.expr(f"substring(`{path}`, locate(':', `{path}`) + 1)"), "/")
-    is_files, is_table, is_warehouse = (kind == t for t in ("lakefiles", "deltalake", "warehouse"))
+    is_files, is_table, is_warehouse = (
+        kind == t for t in (FILES_TYPE, TABLE_TYPE, WAREHOUSE_TYPE)
+    )
 
     def piece(position: int) -> Column:
         return F.get(pieces, F.lit(position))
@@ -39,7 +41,7 @@ def split_paths(df: DataFrame, path: str) -> DataFrame:
         "table_name": F.when(is_table, piece(4)).when(is_warehouse, piece(3)),
         "directory": F.when(is_files, directory),
         "path_status": F.when(~text.contains(":"), "malformed")
-        .when(kind.isin("database", "eventhouse"), "not implemented")
+        .when(kind.isin(*NOT_IMPLEMENTED_TYPES), "not implemented")
         .when(~known, "unrecognized")
         .when(~enough, "malformed")
         .otherwise("ok"),
@@ -51,25 +53,25 @@ def physical_path(form: str, host: str = "") -> Column:
     """The stored location, from the columns of ``split_paths``; NULL where a path type has
     no such form.  ``host`` is the storage endpoint of the ``abfss`` form."""
     ok = F.col("path_status") == "ok"
-    files, table = (ok & (F.col("path_type") == t) for t in ("lakefiles", "deltalake"))
+    files, table = (ok & (F.col("path_type") == t) for t in (FILES_TYPE, TABLE_TYPE))
     in_files = F.col("directory")
     in_tables = F.concat_ws("/", "schema_name", "table_name")
     match form.lower():
         case "api":
-            return F.when(files, F.concat(F.lit("/lakehouse/default/Files/"), in_files)).when(
+            return F.when(files, F.concat(F.lit(API_FILES_ROOT), in_files)).when(
                 table, F.concat_ws(".", "store", "schema_name", "table_name")
             )
         case "catalog":
             return F.when(table, F.concat_ws(".", "store", "table_name"))
         case "relative":
-            return F.when(files, F.concat(F.lit("Files/"), in_files)).when(
-                table, F.concat(F.lit("Tables/"), in_tables)
+            return F.when(files, F.concat(F.lit(FILES_ROOT), in_files)).when(
+                table, F.concat(F.lit(TABLES_ROOT), in_tables)
             )
         case "abfss":
             root = F.concat(
-                F.lit("abfss://"), "workspace", F.lit(f"@{host}/"), "store", F.lit(".Lakehouse/")
+                F.lit("abfss://"), "workspace", F.lit(f"@{host}/"), "store", F.lit(STORE_SUFFIX)
             )
-            return F.when(files, F.concat(root, F.lit("Files/"), in_files)).when(
-                table, F.concat(root, F.lit("Tables/"), in_tables)
+            return F.when(files, F.concat(root, F.lit(FILES_ROOT), in_files)).when(
+                table, F.concat(root, F.lit(TABLES_ROOT), in_tables)
             )
     raise ValueError(f"Unrecognized path form {form!r}.")

@@ -14,12 +14,13 @@ from pyspark.sql.types import BooleanType
 from lakeloom.functions import named
 
 
-def since(df: DataFrame, column: str | None, mark: Any) -> DataFrame:
-    """Rows at or after a high-water mark; all rows without one.  The mark takes the
-    column's type, so the filter prunes partitions and reaches the parquet scan."""
+def since(df: DataFrame, column: str | None, mark: Any, inclusive: bool = True) -> DataFrame:
+    """Rows at or after a high-water mark (or only after it); all rows without one.  The mark
+    takes the column's type, so the filter prunes partitions and reaches the parquet scan."""
     if not column or mark is None or mark == "":
         return df
-    return df.filter(named(column) >= F.lit(mark).cast(df.schema[column].dataType))
+    lowest = F.lit(mark).cast(df.schema[column].dataType)
+    return df.filter(named(column) >= lowest if inclusive else named(column) > lowest)
 
 
 def require_flags(df: DataFrame, flags: Sequence[str]) -> None:

@@ -23,7 +23,9 @@ def bronze_rows(
     return stringify(clean_names(flatten(df, mode, settings)))
 
 
-def _store(df: DataFrame, target: str, partition: str, mark: str | None) -> str | None:
+def _store(
+    df: DataFrame, target: str, partition: str, mark: str | None, inclusive: bool
+) -> str | None:
     """Write, and take the new mark from the same pass.  Empty input keeps the old one."""
     seen = Observation()
     df = df.observe(seen, F.max(named(partition)).alias("newest"))
@@ -31,7 +33,7 @@ def _store(df: DataFrame, target: str, partition: str, mark: str | None) -> str
     if mark is None:
         overwrite(df, target, [partition], rebalance=False)
     else:
-        replace_since(df, target, partition, mark)
+        replace_since(df, target, partition, mark, inclusive=inclusive)
     return seen.get.get("newest") or mark
 
 
@@ -46,14 +48,18 @@ def update_from_json(
     multi_line: bool | str = False,
     full_refresh: bool | str = False,
     schema: StructType | str | None = None,
+    inclusive: bool = True,
 ) -> str | None:
     """Load JSON documents from ``mark`` on, or all of them on a full refresh, for a new
-    target, or without a mark."""
+    target, or without a mark.  Where a stamp is complete once loaded, ``inclusive=False``
+    saves loading the last one again."""
     if is_true(full_refresh) or not table_exists(spark, target):
         mark = None
-    landed = read_json_files(spark, source, partition, mark, is_true(multi_line), schema)
+    landed = read_json_files(
+        spark, source, partition, mark, is_true(multi_line), schema, inclusive=inclusive
+    )
     rows = bronze_rows(landed, flatten_mode, flatten_settings)
-    return _store(rows, target, partition, mark)
+    return _store(rows, target, partition, mark, inclusive)
 
 
 def update_from_parquet(
@@ -63,9 +69,10 @@ def update_from_parquet(
     partition: str = "partition",
     mark: str | None = None,
     full_refresh: bool | str = False,
+    inclusive: bool = True,
 ) -> str | None:
     """Load parquet files likewise; nested columns become JSON text."""
     if is_true(full_refresh) or not table_exists(spark, target):
         mark = None
-    landed = read_parquet_files(spark, source, partition, mark)
-    return _store(stringify(clean_names(landed)), target, partition, mark)
+    landed = read_parquet_files(spark, source, partition, mark, inclusive=inclusive)
+    return _store(stringify(clean_names(landed)), target, partition, mark, inclusive)

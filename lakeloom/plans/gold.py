@@ -20,7 +20,7 @@ from lakeloom.operators.keys import max_surrogate
 from lakeloom.operators.marks import read_mark
 from lakeloom.roles import DimensionRoles, HistoryRoles, is_true
 from lakeloom.shared import materialize, scratch_tables
-from lakeloom.sources.files import read_table, table_exists
+from lakeloom.sources.files import read_stamped, read_table, table_exists
 from lakeloom.sources.sinks import overwrite, overwrite_partitions
 
 
@@ -36,7 +36,7 @@ def update_dimension_table(
 ) -> Any:
     """Rebuild or update a type-1 dimension; returns the new mark."""
     rebuild = is_true(full_refresh) or not table_exists(spark, target)
-    rows = read_table(spark, source, partition, None if rebuild else mark, fmt)
+    rows = read_stamped(spark, source, partition, None if rebuild else mark, fmt, evolved=False)
     with scratch_tables(spark):
         if rebuild:
             overwrite(rebuild_dimension(rows, roles), target, fmt=fmt)
@@ -68,7 +68,7 @@ def update_history_table(
             overwrite(build_history(rows, roles), target, layout, fmt)
             newest = read_mark(rows, roles.date_key)
         else:
-            rows = read_table(spark, source, roles.date_key, mark, fmt)
+            rows = read_stamped(spark, source, roles.date_key, mark, fmt, evolved=False)
             # Used three times below, and small against the history.
             updates = materialize(snapshot_updates(rows, roles), "snapshot")
             newest = read_mark(updates, roles.date_key)

@@ -22,6 +22,8 @@ from lakeloom.sources.sinks import append_strict, overwrite, overwrite_partition
 
 def silver_transform(df: DataFrame, roles: SilverRoles, strict: bool = False) -> DataFrame:
     """Typed projection, flag filter, latest batch, latest row per key, output columns."""
+    if not roles.outputs:
+        raise ValueError("No column is an output.")
     df = keep_flagged(select_typed(df, roles.columns, strict), roles.filters)
     if roles.batch_keys and roles.order_by:
         df = latest_per_batch(df, roles.batch_keys, roles.order_by)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import operator
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,14 +30,16 @@ def stamp_folders(spark: SparkSession, path: str, partition: str) -> list[str]:
     return sorted(stamps, key=int) if all(map(str.isdigit, stamps)) else sorted(stamps)
 
 
-def folders_since(path: str, partition: str, stamps: list[str], mark: Any) -> list[str]:
-    """The folders of the stamps at or after ``mark``.  With nothing new the last one still
-    tells the schema; a filter on the stamp empties it."""
-    mark = str(mark)
+def folders_since(
+    path: str, partition: str, stamps: list[str], mark: Any, inclusive: bool = True
+) -> list[str]:
+    """The folders of the stamps at or after ``mark`` (or only after it).  With nothing new the
+    last one still tells the schema; a filter on the stamp empties it."""
+    mark, above = str(mark), operator.ge if inclusive else operator.gt
     if all(map(str.isdigit, [*stamps, mark])):
-        kept = [s for s in stamps if int(s) >= int(mark)]
+        kept = [s for s in stamps if above(int(s), int(mark))]
     else:
-        kept = [s for s in stamps if s >= mark]
+        kept = [s for s in stamps if above(s, mark)]
     return [f"{path}/{partition}={s}" for s in kept or stamps[-1:]]
 
 
@@ -48,6 +51,7 @@ def _scan(
     schema: StructType | str | None,
     partition: str | None,
     mark: str | None,
+    inclusive: bool,
 ) -> DataFrame:
     """Read the stamp folders from ``mark`` on.  Older ones are neither listed nor read, which
     matters most for JSON, whose schema inference would read the whole landing area."""
@@ -58,11 +62,13 @@ def _scan(
         df = reader.load(path)
     else:
         stamps = stamp_folders(spark, path, partition)
-        df = reader.option("basePath", path).load(folders_since(path, partition, stamps, mark))
+        df = reader.option("basePath", path).load(
+            folders_since(path, partition, stamps, mark, inclusive)
+        )
     if partition and partition in df.columns:
         # Folder discovery guesses a number; the stamp is text.
         df = df.withColumn(partition, named(partition).cast(StringType()))
-        df = since(df, partition, mark)
+        df = since(df, partition, mark, inclusive)
     return df
 
 
@@ -74,6 +80,7 @@ def read_json_files(
     multi_line: bool = False,
     schema: StructType | str | None = None,
     typed: bool = False,
+    inclusive: bool = True,
 ) -> DataFrame:
     """JSON documents with all scalars as strings, their structure inferred from every record.
     ``typed`` infers scalar types too; a ``schema`` saves the inference pass."""
@@ -82,7 +89,7 @@ def read_json_files(
         "samplingRatio": 1.0,
         "multiLine": multi_line,
     }
-    return _scan(spark, path, "json", options, schema, partition, mark)
+    return _scan(spark, path, "json", options, schema, partition, mark, inclusive)
 
 
 def read_parquet_files(
@@ -91,9 +98,11 @@ def read_parquet_files(
     partition: str | None = None,
     mark: str | None = None,
     schema: StructType | str | None = None,
+    inclusive: bool = True,
 ) -> DataFrame:
     """Parquet files whose schemas may differ; columns a file lacks are NULL."""
-    return _scan(spark, path, "parquet", {"mergeSchema": True}, schema, partition, mark)
+    options = {"mergeSchema": True}
+    return _scan(spark, path, "parquet", options, schema, partition, mark, inclusive)
 
 
 def read_table(
@@ -110,17 +119,34 @@ def read_table(
     return since(spark.read.format(fmt).options(**options).load(path), column, mark)
 
 
-def read_stamped(
-    spark: SparkSession, path: str, partition: str, mark: Any = None, fmt: str = "parquet"
-) -> DataFrame:
-    """A bronze table from a mark on.  Its newest stamp has every column the table ever had,
-    so one folder tells the schema, and only the folders from the mark on are listed and read;
-    merging the schemas of all files would open the whole table for every increment."""
+def stamped_schema(
+    spark: SparkSession, path: str, partition: str, fmt: str = "parquet"
+) -> StructType | None:
+    """The schema of a table's newest stamp, or None for a table without stamp folders.  The
+    sinks give the newest stamp every column the table ever had."""
     stamps = stamp_folders(spark, path, partition) if fmt == "parquet" else []
     if not stamps:
-        return read_table(spark, path, partition, mark, fmt, evolved=True)
-    reader = spark.read.format(fmt).option("basePath", path)
-    reader = reader.schema(reader.load(f"{path}/{partition}={stamps[-1]}").schema)
+        return None
+    newest = f"{path}/{partition}={stamps[-1]}"
+    return spark.read.format(fmt).option("basePath", path).load(newest).schema
+
+
+def read_stamped(
+    spark: SparkSession,
+    path: str,
+    partition: str | None,
+    mark: Any = None,
+    fmt: str = "parquet",
+    evolved: bool = True,
+) -> DataFrame:
+    """A table from a mark on, by stamp folders where it has them: one folder tells the schema,
+    and only the folders from the mark on are listed and read.  Merging the schemas of all
+    files, as for other ``evolved`` tables, would open the whole table for every increment."""
+    schema = stamped_schema(spark, path, partition, fmt) if partition else None
+    if schema is None:
+        return read_table(spark, path, partition, mark, fmt, evolved)
+    reader = spark.read.format(fmt).option("basePath", path).schema(schema)
     if mark is None or mark == "":
         return reader.load(path)
+    stamps = stamp_folders(spark, path, partition)
     return since(reader.load(folders_since(path, partition, stamps, mark)), partition, mark)

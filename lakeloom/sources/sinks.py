@@ -18,7 +18,7 @@ from pyspark.sql.types import BooleanType, DataType, NumericType
 from lakeloom.functions import named
 from lakeloom.operators.filters import since
 from lakeloom.shared import materialize, scratch_tables
-from lakeloom.sources.files import read_stamped, read_table, table_exists
+from lakeloom.sources.files import read_table, stamped_schema, table_exists
 
 
 def _write(
@@ -101,17 +101,12 @@ def _complete(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -
     spark = df.sparkSession
     if not table_exists(spark, path):
         return df
-    held = (
-        read_stamped(spark, path, partition_by[0], fmt=fmt)
-        if len(partition_by) == 1
-        else read_table(spark, path, fmt=fmt, evolved=True)
-    )
+    held = stamped_schema(spark, path, partition_by[0], fmt) if len(partition_by) == 1 else None
+    held = held or read_table(spark, path, fmt=fmt, evolved=True).schema
     vanished = {
-        f.name: F.lit(None).cast(f.dataType)
-        for f in held.schema.fields
-        if f.name not in df.columns
+        f.name: F.lit(None).cast(f.dataType) for f in held.fields if f.name not in df.columns
     }
-    return align_columns(df.withColumns(vanished), held.columns)
+    return align_columns(df.withColumns(vanished), held.names)
 
 
 def append_evolve(
@@ -124,12 +119,17 @@ def append_evolve(
 
 
 def replace_since(
-    df: DataFrame, path: str, partition: str, mark: str | None, fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partition: str,
+    mark: str | None,
+    fmt: str = "parquet",
+    inclusive: bool = True,
 ) -> None:
-    """Append stamps at or after the mark.  The mark is inclusive, so its own stamp is loaded
+    """Append stamps at or after the mark.  An inclusive mark is inclusive, so its own stamp is loaded
     again; replacing whole stamps keeps its rows single and makes reruns safe.  Landed files
     lie by stamp already, so nothing is shuffled."""
-    df = _complete(since(df, partition, mark), path, [partition], fmt)
+    df = _complete(since(df, partition, mark, inclusive), path, [partition], fmt)
     overwrite_partitions(df, path, [partition], fmt, rebalance=False)
 
 

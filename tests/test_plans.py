@@ -40,6 +40,17 @@ def test_bronze_json_runs(spark, path):
     assert files.read_table(spark, path("b"), evolved=True).count() == 3
 
 
+def test_exclusive_mark_skips_the_last_stamp(spark, path):
+    land(spark, path("l"), "1", '{"id": 1, "gone": 1}')
+    mark = bronze.update_from_json(spark, path("l"), path("b"))
+    land(spark, path("l"), "2", '{"id": 2}')
+    mark = bronze.update_from_json(spark, path("l"), path("b"), mark=mark, inclusive=False)
+    assert mark == "2"
+    again = bronze.update_from_json(spark, path("l"), path("b"), mark=mark, inclusive=False)
+    table = files.read_stamped(spark, path("b"), "partition")
+    assert again == "2" and rows(table.select("id", "gone")) == [("1", "1"), ("2", None)]
+
+
 def test_empty_input_keeps_the_mark(spark, path):
     land(spark, path("l"), "20250101000000", '{"id": 1}')
     bronze.update_from_json(spark, path("l"), path("b"))
@@ -128,6 +139,11 @@ def test_missing_mark_or_refresh_overwrites(spark, path):
     assert files.read_table(spark, path("s")).count() == 7
 
 
+def test_outputs_are_required(spark):
+    with pytest.raises(ValueError):
+        silver.silver_transform(spark.range(1), SilverRoles(columns=()))
+
+
 def test_write_methods_are_checked(spark, path):
     df = spark.createDataFrame([(1, "a", "x")], "k int, v string, p string")
     with pytest.raises(ValueError):
