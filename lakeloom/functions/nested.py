@@ -71,7 +71,9 @@ def flatten_by_settings(df: DataFrame, settings: str | Iterable[Mapping[str, Any
     return df
 
 
-def flatten(df: DataFrame, mode: str, settings: str | Iterable[Mapping[str, Any]] = ()) -> DataFrame:
+def flatten(
+    df: DataFrame, mode: str, settings: str | Iterable[Mapping[str, Any]] = ()
+) -> DataFrame:
     match mode.strip().lower():
         case "recursive":
             return flatten_all(df)

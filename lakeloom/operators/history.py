@@ -333,13 +333,15 @@ def extend_history(
 
     is_carried = named(roles.valid_from) == at_mark
     ends = versions.filter(is_carried).select(
-        *map(named, keys), named(roles.valid_to).alias("__end"), named(roles.is_current).alias("__on")
+        *map(named, keys),
+        named(roles.valid_to).alias("__end"),
+        named(roles.is_current).alias("__on"),
     )
-    settled = current.join(ends, keys).select(
+    settled = current.join(ends, keys, "left").select(
         *[
-            F.col("__end").alias(c)
+            F.coalesce(F.col("__end"), named(c)).alias(c)
             if c == roles.valid_to
-            else F.col("__on").alias(c)
+            else F.coalesce(F.col("__on"), named(c)).alias(c)
             if c == roles.is_current
             else named(c)
             for c in target.columns

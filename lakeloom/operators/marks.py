@@ -20,7 +20,9 @@ def read_mark(df: DataFrame, column: str | None) -> Any:
     return max_mark(df, column).first()[0] if column else None
 
 
-def upsert_marks(marks: DataFrame, updates: DataFrame, mark: str, key: str = "task_id") -> DataFrame:
+def upsert_marks(
+    marks: DataFrame, updates: DataFrame, mark: str, key: str = "task_id"
+) -> DataFrame:
     """Store new marks by task.  A run over empty input has no mark; it keeps the old one."""
     known = marks.select(key, named(mark).alias("__old"))
     kept = (

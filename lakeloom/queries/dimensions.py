@@ -103,7 +103,8 @@ def target_and_updates(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, Dat
     return target, history.snapshot_updates(daily, HISTORY)
 
 
-@register(f"WITH {DAILY_SQL}, {history_sql('daily', 'versions')} SELECT {HISTORY_OUT} FROM versions")
+@register(f"""
+WITH {DAILY_SQL}, {history_sql("daily", "versions")} SELECT {HISTORY_OUT} FROM versions""")
 def scd2_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(history.build_history(daily_state(spark, sf_dir), HISTORY, unique=True))
 

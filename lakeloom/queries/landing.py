@@ -101,7 +101,9 @@ NAMES = (
 
 
 @register(
-    " UNION ALL ".join(f"SELECT 'given_{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in NAMES)
+    " UNION ALL ".join(
+        f"SELECT 'given_{n}' AS table_name, count(*) AS n_rows FROM {n}" for n in NAMES
+    )
 )
 def table_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The inventory with the rows of each given table."""

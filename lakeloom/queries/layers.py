@@ -131,7 +131,9 @@ def silver_update(
     mark = None
     for status, stamp, save in (("F", FIRST, overwrite), ("O", SECOND, append_evolve)):
         load = lines.filter(F.col("l_linestatus") == status)
-        save(load.withColumn("partition", F.lit(stamp)), source, ["partition"])
+        # One stamp per write, as a bronze load does it.
+        load = load.withColumn("partition", F.lit(stamp))
+        save(load, source, ["partition"], rebalance=False)
         mark = silver.update_silver(
             spark, source, target, roles, method,
             mark=SECOND if mark else None, partitions_immutable=immutable,

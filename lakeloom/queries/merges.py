@@ -112,7 +112,8 @@ def write_append_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "write-evolve")
     kept = [*LINE_KEY, "l_quantity", "l_linestatus"]
     sinks.overwrite(lines(spark, sf_dir, "F").select("ship_date", *kept), path, ["l_linestatus"])
-    sinks.append_evolve(lines(spark, sf_dir, "O").select("l_suppkey", *kept), path, ["l_linestatus"])
+    later = lines(spark, sf_dir, "O").select("l_suppkey", *kept)
+    sinks.append_evolve(later, path, ["l_linestatus"])
     evolved = read_table(spark, path, evolved=True)
     return portable(evolved.select(*kept, "ship_date", "l_suppkey"))
 
@@ -143,7 +144,8 @@ def reload_fixed_schema(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path)
 
 
-@register("SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier")
+@register("""
+SELECT s_suppkey, s_name, CAST(s_nationkey AS BIGINT) AS s_nationkey, s_acctbal FROM supplier""")
 def passthrough_view(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(tables.passthrough_view(table(spark, sf_dir, "supplier"), "dim_supplier"))
 

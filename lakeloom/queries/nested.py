@@ -17,7 +17,9 @@ def nested_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     def measure(name: str, column: str):
         return F.struct(
             F.lit(name).alias("name"),
-            F.struct(F.col(column).alias("amount"), F.lit(len(name)).alias("digits")).alias("value"),
+            F.struct(
+                F.col(column).alias("amount"), F.lit(len(name)).alias("digits")
+            ).alias("value"),
         )
 
     return table(spark, sf_dir, "lineitem").select(

@@ -75,7 +75,11 @@ def align_columns(df: DataFrame, target_columns: Sequence[str]) -> DataFrame:
 
 
 def append_strict(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> None:
     """Append; columns unknown to the table, or of another type, are an error."""
     spark = df.sparkSession
@@ -92,7 +96,7 @@ def append_strict(
         }
         if wrong:
             raise TypeError(f"Columns have other types than in the table: {wrong}.")
-    _write(df, path, "append", partition_by, fmt)
+    _write(df, path, "append", partition_by, fmt, rebalance)
 
 
 def _complete(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> DataFrame:
@@ -110,12 +114,16 @@ def _complete(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -
 
 
 def append_evolve(
-    df: DataFrame, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
+    df: DataFrame,
+    path: str,
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
+    rebalance: bool = True,
 ) -> None:
     """Append; the table gains new columns and lacks vanished ones for the new rows.  Read
     such a table with ``read_table(..., evolved=True)``."""
     df = _complete(df, path, partition_by, fmt)
-    _write(df, path, "append", partition_by, fmt, mergeSchema=True)
+    _write(df, path, "append", partition_by, fmt, rebalance, mergeSchema=True)
 
 
 def replace_since(
@@ -126,9 +134,9 @@ def replace_since(
     fmt: str = "parquet",
     inclusive: bool = True,
 ) -> None:
-    """Append stamps at or after the mark.  An inclusive mark is inclusive, so its own stamp is loaded
-    again; replacing whole stamps keeps its rows single and makes reruns safe.  Landed files
-    lie by stamp already, so nothing is shuffled."""
+    """Append stamps at or after the mark.  An inclusive mark loads its own stamp again;
+    replacing whole stamps keeps its rows single and makes reruns safe.  Landed files lie by
+    stamp already, so nothing is shuffled."""
     df = _complete(since(df, partition, mark, inclusive), path, [partition], fmt)
     overwrite_partitions(df, path, [partition], fmt, rebalance=False)
 

@@ -1,5 +1,3 @@
-import datetime as dt
-
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
