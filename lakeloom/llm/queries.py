@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import langid, quality, sentencepieces
+from lakeloom.llm import exact, langid, mixing, quality, sentencepieces
 from lakeloom.llm.common import table
 
 QUERIES: dict = {}
@@ -23,6 +23,12 @@ def register(oracle: str | None = None):
     return add
 
 
+@register()
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.taken(docs).select("doc_id", "size", "source_size", "target", "taken", "shards")
+
+
 @register()
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +36,26 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+@register(
+    """
+    WITH normal AS (
+        SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                                 'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents
+    )
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
+    FROM normal WINDOW w AS (PARTITION BY t)
+    """
+)
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = exact.dedup(docs)
+    return found.select(
+        "doc_id", "keep_id", "group_size", "kept", F.col("digest").alias("text_sha256")
+    )
+
+
 @register()
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
