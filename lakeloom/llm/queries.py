@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import exact, langid, mixing, quality, sentencepieces
+from lakeloom.llm import exact, langid, mixing, quality, sentencepieces, vptree, warc
 from lakeloom.llm.common import table
 
 QUERIES: dict = {}
@@ -56,6 +56,34 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    """
+    WITH payloads AS (
+        SELECT page_id, coalesce(html, '') AS p, strlen(coalesce(html, '')) AS n FROM pages
+    ), firsts AS (
+        SELECT *, min(page_id) OVER (PARTITION BY p) AS first_id FROM payloads
+    )
+    SELECT page_id, n AS payload_bytes, sha256(p) AS payload_digest,
+           CASE WHEN n >= 100 AND first_id <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN n >= 100 AND first_id <> page_id THEN first_id END AS refers_to
+    FROM firsts
+    """
+)
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    kind = pages.schema["page_id"].dataType
+    records = warc.read(warc.write(pages)).withColumn(
+        "valid", F.when(F.col("error").isNotNull(), F.raise_error(F.col("error"))).otherwise(True)
+    )
+    return records.where("valid").select(
+        F.col("page_id").cast(kind).alias("page_id"),
+        "payload_bytes",
+        "payload_digest",
+        "record_type",
+        F.col("refers_to").cast(kind).alias("refers_to"),
+    )
+
+
 @register()
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -64,6 +92,28 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", held, "lang_pred", "score")
 
 
+@register(
+    """
+    WITH good AS (
+        SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+        WHERE embedding IS NOT NULL AND len(embedding) > 0
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS s
+        FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        WHERE q.vec_id % 50 = 0
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY s DESC, vec_id) AS rank FROM scored
+    )
+    SELECT query_id, rank::INTEGER AS rank, vec_id, s AS score FROM ranked WHERE rank <= 5
+    """
+)
+def op9_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return vptree.nearest(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
 @register()
 def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
