@@ -68,3 +68,27 @@ def pieces(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, list[b
         part = texts.slice(at, to - at).cast(pa.binary()).to_pylist()
         yield at, [x or b"" for x in part]
         at = to
+
+
+_BASE = 0x9E3779B97F4A7C15 | 1
+_tables: dict[bool, np.ndarray] = {}
+
+
+def powers(n: int, inverse: bool = False) -> np.ndarray:
+    """Powers of an odd base modulo 2**64, or of its inverse."""
+    table = _tables.get(inverse)
+    if table is None or len(table) < n:
+        base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
+        table = np.full(max(n, 1 << 20), base, np.uint64)
+        table[0] = 1
+        table = np.multiply.accumulate(table)
+        _tables[inverse] = table
+    return table[:n]
+
+
+def prefix_hash(data: np.ndarray) -> np.ndarray:
+    """Sums of bytes times powers of the base: the hash of the bytes from i up to j is the
+    difference of two sums times the inverse power of i."""
+    hashed = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data.astype(np.uint64) + 1) * powers(len(data)), out=hashed[1:])
+    return hashed

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import id_text, pieces
+from lakeloom.llm.common import id_text, pieces, powers, prefix_hash
 
 #: Labelled documents the fit may use: the bound of the training sample.
 TRAIN_DOCUMENTS = 3000
@@ -75,17 +75,17 @@ def line_features(texts: list[bytes]) -> Lines:
     columns = [per_line(c[data]) / size for c in CLASSES]
 
     # Word hashes by prefix sums of a polynomial; equal neighbours are repetition.
-    hashed = _prefix_hash(data)
+    hashed = prefix_hash(data)
     first = np.flatnonzero(begin)
     stop = np.flatnonzero(space & np.concatenate([[False], ~space[:-1]]))
-    word = (hashed[stop] - hashed[first]) * _powers(len(data), True)[first]
+    word = (hashed[stop] - hashed[first]) * powers(len(data), True)[first]
     same = np.zeros(len(data), bool)
     if len(first) > 1:
         same[first[1:]] = word[1:] == word[:-1]
         two = first[2:][word[2:] == word[:-2]]
     else:
         two = first[:0]
-    line = (hashed[ends] - hashed[starts]) * _powers(len(data), True)[starts]
+    line = (hashed[ends] - hashed[starts]) * powers(len(data), True)[starts]
     alike = np.zeros(len(data), bool)
     alike[two] = True
     order = np.lexsort((line, doc))
@@ -113,28 +113,6 @@ def line_features(texts: list[bytes]) -> Lines:
     return Lines(np.hstack([own, before, after]), size, counts)
 
 
-_BASE = 0x9E3779B97F4A7C15 | 1
-_tables: dict[bool, np.ndarray] = {}
-
-
-def _powers(n: int, inverse: bool = False) -> np.ndarray:
-    """Powers of an odd base modulo 2**64, or of its inverse."""
-    table = _tables.get(inverse)
-    if table is None or len(table) < n:
-        base = pow(_BASE, -1, 1 << 64) if inverse else _BASE
-        table = np.full(max(n, 1 << 20), base, np.uint64)
-        table[0] = 1
-        table = np.multiply.accumulate(table)
-        _tables[inverse] = table
-    return table[:n]
-
-
-def _prefix_hash(data: np.ndarray) -> np.ndarray:
-    hashed = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((data.astype(np.uint64) + 1) * _powers(len(data)), out=hashed[1:])
-    return hashed
-
-
 class Model(NamedTuple):
     weights: np.ndarray  # WIDTH
     bias: float

@@ -6,7 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.llm import exact, langid, mixing, quality, sentencepieces, vptree, warc
+from lakeloom.llm import (
+    exact,
+    langid,
+    lines,
+    mixing,
+    near,
+    quality,
+    sentencepieces,
+    vptree,
+    warc,
+)
 from lakeloom.llm.common import table
 
 QUERIES: dict = {}
@@ -56,6 +66,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return near.classes(docs).select("doc_id", "class_id", "class_size", "kept")
+
+
 @register(
     """
     WITH payloads AS (
@@ -92,6 +108,14 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", held, "lang_pred", "score")
 
 
+@register()
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lines.dedup(docs).select(
+        "row.doc_id", "lines", "removed", F.col("clean").alias("text")
+    )
+
+
 @register(
     """
     WITH good AS (
