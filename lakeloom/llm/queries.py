@@ -12,6 +12,7 @@ from lakeloom.llm import (
     lines,
     mixing,
     near,
+    pagetext,
     quality,
     sentencepieces,
     vptree,
@@ -39,6 +40,13 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(docs).select("doc_id", "size", "source_size", "target", "taken", "shards")
 
 
+@register()
+def op2_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = pagetext.extract(pages, pagetext.train(pages))
+    return found.select("row.page_id", "row.url", "text", "n_chars")
+
+
 @register()
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
