@@ -31,13 +31,23 @@ def normal(text: Column) -> Column:
 
 @contextmanager
 def _state_on_disk(spark: SparkSession) -> Iterator[None]:
-    key = "spark.sql.streaming.stateStore.providerClass"
-    old = spark.conf.get(key)
-    spark.conf.set(key, ROCKSDB)
+    """State in RocksDB, which is told not to allocate files ahead: with many partitions that
+    takes megabytes for each, however few rows it has."""
+    wanted = {
+        "spark.sql.streaming.stateStore.providerClass": ROCKSDB,
+        "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
+    }
+    old = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        spark.conf.set(key, old)
+        for key, value in old.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def ingest(arrivals: DataFrame, checkpoint: str) -> DataFrame:
