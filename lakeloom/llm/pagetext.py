@@ -327,7 +327,7 @@ def fit(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCHS,
     )
     m = [np.zeros_like(p) for p in model]
     v = [np.zeros_like(p) for p in model]
-    step = 0
+    step, steps = 0, epochs * -(-len(pages) // BATCH)
     for _ in range(epochs):
         order = rng.permutation(len(pages))
         for first in range(0, len(order), BATCH):
@@ -340,7 +340,7 @@ def fit(pages: list[np.ndarray], labels: list[np.ndarray], epochs: int = EPOCHS,
                 g = g.astype(np.float32) + 1e-5 * p
                 a += 0.1 * (g - a)
                 b += 0.01 * (g * g - b)
-                p -= 0.01 * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
+                p -= 0.01 * (1.05 - step / steps) * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-8)
     return model
 
 
