@@ -26,15 +26,9 @@ STAMP_FORMAT = "yyyyMMddHHmmss"
 DATETIME_FORMAT = "yyyy-MM-dd HH:mm:ss"
 LOCAL_ZONE = "America/New_York"
 
-# Guard of a partition-scoped merge.
-MAX_PARTITIONS = 1024
-
 # Write methods of a silver update.
 WRITE_METHODS = ("overwrite", "append", "pk_merge", "bk_merge")
 
-# Levels followed in dataset lineage before it is taken for a cycle.
-MAX_LEVELS = 100
-
 # Service responses: the error number of an expired session, and the texts reported.
 EXPIRED_SESSION = "XL03000006"
 BAD_STATUS_CODE_TEXT = "Status code is not 200."

@@ -1,11 +1,11 @@
-"""Landed service responses: one response per row."""
+"""Landed service responses: one response per row.
 
-from __future__ import annotations
+XML is read with regular expressions and XPath, gated by Spark's own XML reader, which tells
+malformed text without failing.  Nothing leaves the JVM and no response is lost.
+"""
 
-from collections.abc import Iterator
-from xml.etree import ElementTree
+from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,94 +20,101 @@ from lakeloom.constants import (
 )
 
 LISTING = "struct<next:string,results:array<struct<url:string>>>"
+#: States of a response's contents.
+OK, EMPTY, UNREADABLE = "ok", "empty", "unreadable"
 
 
 def response_items(df: DataFrame, body: str) -> DataFrame:
-    """The item addresses of listing responses; ``is_last_page`` when no page follows."""
-    page = F.from_json(F.col(body), LISTING)
+    """The item addresses of listing responses; ``is_last_page`` when no page follows.
+
+    Every response has a row: one without items has the address NULL.  ``body_status`` tells
+    ``ok``, ``empty`` and ``unreadable`` apart; whether a page follows an unreadable one is
+    not known, so ``is_last_page`` is NULL."""
+    page, items = F.col("__page"), F.col("__page.results")
+    status = (
+        F.when(page.isNull() | F.col("__bad"), UNREADABLE)
+        .when(F.coalesce(F.size(items), F.lit(0)) == 0, EMPTY)
+        .otherwise(OK)
+    )
+    parsed = F.from_json(F.col(body), f"{LISTING[:-1]},_corrupt:string>", {"columnNameOfCorruptRecord": "_corrupt"})
     return (
-        df.withColumn("__page", page)
-        .select(
-            *df.columns,
-            F.col("__page.next").isNull().alias("is_last_page"),
-            F.explode("__page.results").alias("__item"),
-        )
-        .withColumn("item_url", F.col("__item.url"))
-        .drop("__item")
+        df.withColumn("__page", parsed)
+        .withColumn("__bad", F.coalesce(F.col("__page._corrupt").isNotNull(), F.lit(False)))
+        .withColumn("body_status", status)
+        .withColumn("is_last_page", F.when(F.col("body_status") != UNREADABLE, F.col("__page.next").isNull()))
+        .withColumn("__item", F.explode_outer(items))
+        .select(*df.columns, "is_last_page", "body_status", F.col("__item.url").alias("item_url"))
     )
 
 
-# Spark's XPath functions fail the job on malformed text and from_xml has no search at any
-# depth, so parsing alone is an Arrow batch function; the rules stay column expressions.
-# The functions are nested so that executors need no copy of this package to run them.
-
-
-def _xml_facts(body: Column) -> Column:
-    def facts(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        names = ["well_formed", "has_error", "error_no", "has_status", "status"]
-        for batch in batches:
-            rows = []
-            for text in batch:
-                try:
-                    root = ElementTree.fromstring(text or "")
-                except ElementTree.ParseError:
-                    rows.append((False, False, None, False, None))
-                    continue
-                error, status = root.find(".//errorno"), root.find(".//status")
-                rows.append(
-                    (
-                        True,
-                        error is not None,
-                        None if error is None else error.text,
-                        status is not None,
-                        None if status is None else status.text,
-                    )
-                )
-            yield pd.DataFrame(rows, columns=names)
-
-    kind = (
-        "well_formed boolean, has_error boolean, error_no string, "
-        "has_status boolean, status string"
-    )
-    return F.pandas_udf(facts, kind)(body)
+_ROOT = "lakeloom-root"
+
+
+def _markup(body: Column) -> Column:
+    """The text without declarations, comments and processing instructions."""
+    return F.regexp_replace(body, r"(?s)<!--.*?-->|<\?.*?\?>|<!DOCTYPE[^>]*>", "")
+
 
+def well_formed(body: Column) -> Column:
+    """Whether a text is one XML element and nothing else but white space and comments.
 
-def _field_ids(body: Column) -> Column:
-    def ids(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in batches:
-            found = []
-            for text in batch:
-                try:
-                    fields = ElementTree.fromstring(text or "").findall(".//Field")
-                except ElementTree.ParseError:
-                    fields = []
-                marks = [f.find("ID") for f in fields]
-                found.append([m.text for m in marks if m is not None])
-            yield pd.Series(found, dtype=object)
+    The reader stops after an element, so the text is put into one, which must then be whole;
+    only such text is searched for what lies at its top."""
+    inner = _markup(body)
+    text = F.concat(F.lit(f"<{_ROOT}>"), inner, F.lit(f"</{_ROOT}>"))
+    read = F.from_xml(text, "_corrupt string", {"columnNameOfCorruptRecord": "_corrupt"})
+    whole = body.isNotNull() & ~F.contains(inner, F.lit(_ROOT)) & read["_corrupt"].isNull()
+    elements = F.xpath_int(text, F.lit(f"count(/{_ROOT}/*)"))
+    loose = F.xpath_int(text, F.lit(f"count(/{_ROOT}/text()[normalize-space()])"))
+    return F.coalesce(F.when(whole, (elements == 1) & (loose == 0)), F.lit(False))
 
-    return F.pandas_udf(ids, "array<string>")(body)
+
+def _has(body: Column, name: str) -> Column:
+    return body.rlike(rf"<{name}[\s/>]")
+
+
+def _content(body: Column, name: str) -> Column:
+    """The text of the first element of a name, NULL if it has none."""
+    text = F.regexp_extract(body, rf"(?s)<{name}(?:\s[^>]*)?(?<!/)>([^<]*)</{name}\s*>", 1)
+    return F.when(text != "", _decoded(text))
+
+
+def _decoded(text: Column) -> Column:
+    for entity, char in (("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("amp", "&")):
+        text = F.replace(text, F.lit(f"&{entity};"), F.lit(char))
+    return text
 
 
 def response_status(df: DataFrame, status_code: str, content_type: str, body: str) -> DataFrame:
     """Add ``response_error``: why a response is unusable, or NULL when it is fine."""
     is_xml = F.coalesce(F.lower(F.col(content_type)).contains("xml"), F.lit(False))
-    fact = F.col("__xml").getField
+    text = _markup(F.col(body))
     reason = (
         F.when(F.col(status_code).isNull() | (F.col(status_code) != 200), BAD_STATUS_CODE_TEXT)
         .when(~is_xml, F.lit(None).cast("string"))
-        .when(~fact("well_formed"), BAD_XML_TEXT)
-        .when(fact("error_no") == EXPIRED_SESSION, EXPIRED_TEXT)
-        .when(fact("has_error"), ERROR_TEXT)
-        .when(~fact("has_status"), NO_STATUS_TEXT)
-        .when(fact("status") == "failure", FAILED_TEXT)
+        .when(~well_formed(F.col(body)), BAD_XML_TEXT)
+        .when(_content(text, "errorno") == EXPIRED_SESSION, EXPIRED_TEXT)
+        .when(_has(text, "errorno"), ERROR_TEXT)
+        .when(~_has(text, "status"), NO_STATUS_TEXT)
+        .when(_content(text, "status") == "failure", FAILED_TEXT)
     )
-    # Only XML bodies are worth sending to the parser.
-    parsed = df.withColumn("__xml", _xml_facts(F.when(is_xml, F.col(body))))
-    return parsed.withColumn("response_error", reason).drop("__xml")
+    return df.withColumn("response_error", reason)
 
 
 def response_fields(df: DataFrame, body: str) -> DataFrame:
-    """One row per field identifier listed in an object description."""
-    return df.withColumn("__ids", _field_ids(F.col(body))).select(
-        *df.columns, F.explode("__ids").alias("field_id")
+    """One row per field identifier listed in an object description.
+
+    Every response has a row: one without identifiers has NULL.  ``body_status`` tells ``ok``,
+    ``empty`` and ``unreadable`` apart."""
+    text = F.when(well_formed(F.col(body)), _markup(F.col(body)))
+    found = F.regexp_extract_all(text, F.lit(r"(?s)<Field(?:\s[^>]*)?(?<!/)>(.*?)</Field\s*>"), F.lit(1))
+    ids = F.filter(F.transform(found, lambda field: _content(field, "ID")), lambda i: i.isNotNull())
+    status = (
+        F.when(F.col("__ids").isNull(), UNREADABLE).when(F.size("__ids") == 0, EMPTY).otherwise(OK)
+    )
+    return (
+        df.withColumn("__ids", ids)
+        .withColumn("body_status", status)
+        .withColumn("field_id", F.explode_outer("__ids"))
+        .select(*df.columns, "body_status", "field_id")
     )

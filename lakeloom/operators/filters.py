@@ -9,18 +9,23 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BooleanType
+from pyspark.sql.types import BooleanType, StringType
 
 from lakeloom.functions import named
+from lakeloom.functions.stamps import stamp_key, stamp_order
 
 
 def since(df: DataFrame, column: str | None, mark: Any, inclusive: bool = True) -> DataFrame:
     """Rows at or after a high-water mark (or only after it); all rows without one.  The mark
-    takes the column's type, so the filter prunes partitions and reaches the parquet scan."""
+    takes the column's type, so the filter prunes partitions and reaches the parquet scan.
+    Text is compared in the order of stamps; marks other than plain digits reach the scan."""
     if not column or mark is None or mark == "":
         return df
-    lowest = F.lit(mark).cast(df.schema[column].dataType)
-    return df.filter(named(column) >= lowest if inclusive else named(column) > lowest)
+    kind, value = df.schema[column].dataType, named(column)
+    lowest = F.lit(mark).cast(kind)
+    if isinstance(kind, StringType):
+        value, lowest = stamp_order(value), F.lit(stamp_key(mark))
+    return df.filter(value >= lowest if inclusive else value > lowest)
 
 
 def require_flags(df: DataFrame, flags: Sequence[str]) -> None:

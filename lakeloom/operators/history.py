@@ -7,6 +7,7 @@ primary key holds at most one row per date.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import Any
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -287,9 +288,10 @@ def apply_snapshot(
     target: DataFrame,
     roles: HistoryRoles,
     start: int | Column | None = None,
+    missing: bool = True,
 ) -> DataFrame:
     """The target after the newest snapshot: changed and missing keys closed, changed and new
-    keys opened.
+    keys opened.  Without ``missing``, keys that the snapshot lacks stay as they are.
 
     One left join settles every current row and one anti join finds every row to open (no
     current row with its key and hash), so the target's closed rows take part in no join.
@@ -300,7 +302,7 @@ def apply_snapshot(
     opened = number_versions(opened, target, roles, start).select(
         *[named(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields]
     )
-    settled = _close(target, updates, roles, changed=True, missing=True)
+    settled = _close(target, updates, roles, changed=True, missing=missing)
     return _not_current(target, roles).unionByName(settled).unionByName(opened)
 
 
@@ -312,7 +314,11 @@ def update_history(source: DataFrame, target: DataFrame, roles: HistoryRoles) ->
 
 
 def extend_history(
-    source: DataFrame, target: DataFrame, roles: HistoryRoles, mark: date
+    source: DataFrame,
+    target: DataFrame,
+    roles: HistoryRoles,
+    mark: Any,
+    start: int | Column | None = None,
 ) -> DataFrame:
     """The target after *all* snapshots later than ``mark``, the last date it has loaded: the
     result of applying them one by one, in a single pass over the new days.
@@ -351,6 +357,6 @@ def extend_history(
         versions.filter(~is_carried),
         [*keys, roles.valid_from],
         roles.surrogate_key,
-        start=max_surrogate(target, roles.surrogate_key).scalar(),
+        start=max_surrogate(target, roles.surrogate_key).scalar() if start is None else start,
     ).select(*[named(f.name).cast(f.dataType).alias(f.name) for f in target.schema.fields])
     return _not_current(target, roles).unionByName(settled).unionByName(opened)

@@ -1,9 +1,9 @@
 """Task order from dataset lineage.
 
-The level of a task is the length of its longest chain of parents.  Levels are found
-breadth-first: each step is one join of the edges with the tasks reached last, made distinct,
-so a task is handled once per level no matter how many paths lead to it.  The number of steps
-is the depth of the graph; the tasks of a step never come to the driver.
+The level of a task is the length of its longest chain of parents.  Each step joins the edges
+that still wait with the tasks reached last, so an edge is settled once, no matter how many
+paths lead over it.  The number of steps is the depth of the graph; the tasks of a step never
+come to the driver.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.constants import MAX_LEVELS
 from lakeloom.operators.metadata import task_prefix
 from lakeloom.shared import materialize, scratch_path
 
@@ -29,28 +28,32 @@ def lineage_edges(tasks: DataFrame, targets: DataFrame, lineage: DataFrame) -> D
     )
 
 
-def lineage_levels(edges: DataFrame, max_levels: int = MAX_LEVELS) -> DataFrame:
+def lineage_levels(edges: DataFrame) -> DataFrame:
     """(task_id, pipeline_id, batch_num, task_status) of every task.
 
-    Tasks reachable only through a cycle have no level and the status ``cycle``; ids without
-    a kind have the status ``no prefix``."""
+    Tasks without open parents are peeled off, level by level; what is left when no more can
+    be are the cycles and the tasks behind them.  They have no level and the status ``cycle``;
+    ids without a kind have the status ``no prefix``."""
     spark = edges.sparkSession
     edges = materialize(edges, "edges")
-    children = edges.filter(F.col("parent_id").isNotNull())
     path = scratch_path(spark, "levels")
 
     def save(tasks: DataFrame, level: int) -> DataFrame:
         tasks.select("task_id").distinct().write.parquet(f"{path}/batch_num={level}")
         return spark.read.schema("task_id string").parquet(f"{path}/batch_num={level}")
 
+    # Edges to parents that have no level yet.
+    waiting = materialize(edges.filter(F.col("parent_id").isNotNull()).distinct(), "waiting")
     level = 1
-    reached = save(edges.filter(F.col("parent_id").isNull()), level)
+    reached = save(edges.join(waiting.select("task_id"), "task_id", "left_anti"), level)
     while not reached.isEmpty():
         level += 1
-        if level > max_levels + 1:
-            raise ValueError(f"Lineage is deeper than {max_levels} levels: there is a cycle.")
-        step = children.join(reached.withColumnRenamed("task_id", "parent_id"), "parent_id")
-        reached = save(step, level)
+        done = reached.withColumnRenamed("task_id", "parent_id")
+        freed = waiting.join(done, "parent_id", "left_semi").select("task_id")
+        waiting = materialize(
+            waiting.join(done, "parent_id", "left_anti").select("task_id", "parent_id"), "waiting"
+        )
+        reached = save(freed.join(waiting.select("task_id"), "task_id", "left_anti"), level)
 
     levels = spark.read.schema("task_id string, batch_num int").parquet(path)
     longest = levels.groupBy("task_id").agg(F.max("batch_num").alias("batch_num"))

@@ -4,16 +4,27 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from pyspark.sql.types import StringType
+
 from lakeloom.functions import named
+from lakeloom.functions.stamps import stamp_order
 from lakeloom.operators.merge import upsert
 
 
 def max_mark(df: DataFrame, column: str) -> DataFrame:
-    """One row: the greatest value of ``column``, NULL for an empty input."""
-    return df.agg(F.max(named(column)).alias(column))
+    """One row: the greatest value of ``column``, of text in the order of stamps; NULL for an
+    empty input."""
+    return df.agg(newest(df, column).alias(column))
+
+
+def newest(df: DataFrame, column: str) -> Column:
+    """The aggregate behind ``max_mark``."""
+    if isinstance(df.schema[column].dataType, StringType):
+        return F.max(F.struct(stamp_order(named(column)).alias("key"), named(column).alias("m")))["m"]
+    return F.max(named(column))
 
 
 def read_mark(df: DataFrame, column: str | None) -> Any:

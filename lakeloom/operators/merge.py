@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.constants import MAX_PARTITIONS
 from lakeloom.functions import named
 from lakeloom.operators.dedup import distinct_keys, require_unique
 from lakeloom.operators.filters import drop_null_keys
@@ -32,8 +31,9 @@ def like_target(updates: DataFrame, target: DataFrame) -> DataFrame:
 
 
 def delete_matching(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The target without rows whose key occurs in ``doomed``; NULL keys stay."""
-    return target.join(doomed.select(*map(named, keys)), list(keys), "left_anti").select(
+    """The target without rows whose key occurs in ``doomed``; NULL keys stay.  Keys are made
+    distinct before they are shuffled."""
+    return target.join(distinct_keys(doomed, keys), list(keys), "left_anti").select(
         *map(named, target.columns)
     )
 
@@ -46,34 +46,29 @@ def upsert(
     updates = drop_null_keys(like_target(updates, target), keys)
     if not unique:
         require_unique(updates, keys)
-    return delete_matching(target, updates, keys).unionByName(updates)
+    others = target.join(updates.select(*map(named, keys)), list(keys), "left_anti")
+    return others.select(*map(named, target.columns)).unionByName(updates)
 
 
 def replace_batches(target: DataFrame, updates: DataFrame, batch_keys: Sequence[str]) -> DataFrame:
     """Delete every target row whose batch occurs in the updates, then add the updates."""
     updates = drop_null_keys(like_target(updates, target), batch_keys)
-    batches = distinct_keys(updates, batch_keys)
-    return delete_matching(target, batches, batch_keys).unionByName(updates)
+    return delete_matching(target, updates, batch_keys).unionByName(updates)
 
 
-def partition_predicate(
-    updates: DataFrame, partition_by: Sequence[str], max_partitions: int = MAX_PARTITIONS
-) -> Column | None:
-    """A predicate for the partitions present in ``updates``; None when it is empty.
-
-    The values are at most ``max_partitions`` (more is an error), so they may come to the
-    driver; as literals they prune the target's files before anything is read."""
+def in_partitions(
+    target: DataFrame, updates: DataFrame, partition_by: Sequence[str], touched: bool = True
+) -> DataFrame:
+    """The target's rows in partitions that ``updates`` has rows in, or in the others.  NULL is
+    a partition like any other."""
     if not partition_by:
         raise ValueError("Partition columns are required.")
-    found = distinct_keys(updates, partition_by).limit(max_partitions + 1).collect()
-    if len(found) > max_partitions:
-        raise ValueError(f"Updates touch more than {max_partitions} partitions.")
-    kinds = {c: updates.schema[c].dataType for c in partition_by}
-    tuples = [
-        reduce(and_, [named(c).eqNullSafe(F.lit(row[c]).cast(kinds[c])) for c in partition_by])
-        for row in found
-    ]
-    return reduce(or_, tuples) if tuples else None
+    kinds = {c: target.schema[c].dataType for c in partition_by}
+    found = distinct_keys(updates, partition_by).select(
+        *[named(c).cast(kinds[c]).alias(f"__{i}") for i, c in enumerate(partition_by)]
+    )
+    same = reduce(and_, [named(c).eqNullSafe(F.col(f"__{i}")) for i, c in enumerate(partition_by)])
+    return target.join(found, same, "left_semi" if touched else "left_anti")
 
 
 def merge_in_partitions(
@@ -81,10 +76,7 @@ def merge_in_partitions(
     updates: DataFrame,
     partition_by: Sequence[str],
     merge: Callable[[DataFrame, DataFrame], DataFrame],
-    max_partitions: int = MAX_PARTITIONS,
 ) -> DataFrame:
     """Apply ``merge`` to the partitions the updates touch; other rows neither match nor change."""
-    touched = partition_predicate(updates, partition_by, max_partitions)
-    if touched is None:
-        return target
-    return target.filter(~touched).unionByName(merge(target.filter(touched), updates))
+    others = in_partitions(target, updates, partition_by, touched=False)
+    return others.unionByName(merge(in_partitions(target, updates, partition_by), updates))

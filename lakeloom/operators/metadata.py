@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 from typing import Any
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -32,8 +33,10 @@ def resolve_params(
     static: DataFrame, dynamic: DataFrame, overrides: Mapping[str, Any] | None = None
 ) -> DataFrame:
     """The parameters of every task: a run's own value, else the stored one.  The mark is
-    NULL for tasks that never ran."""
-    joined = static.join(dynamic, "task_id", "left")
+    NULL for tasks that never ran; of several rows of a task the first in column order counts,
+    stored or dynamic."""
+    firsts = lookup_one(dynamic, static)
+    joined = lookup_one(static, static).join(firsts, "task_id", "left")
     given = {k: v for k, v in (overrides or {}).items() if v is not None}
     unknown = sorted(set(given) - set(joined.columns))
     if unknown:
@@ -59,11 +62,14 @@ def job_tasks(jobs: DataFrame, job_id: int, tables: Mapping[str, DataFrame]) ->
     found = jobs.filter(F.col("job_id") == job_id).orderBy("task_sql").limit(1).collect()
     if not found:
         raise ValueError(f"No job {job_id}.")
+    # The text sees just these tables; views of the caller are neither used nor replaced.
+    spark, own = jobs.sparkSession, {name: f"job_{uuid4().hex}" for name in tables}
     for name, table in tables.items():
-        table.createOrReplaceTempView(name)
+        table.createOrReplaceTempView(own[name])
+    views = ", ".join(f"`{name}` AS (SELECT * FROM {view})" for name, view in own.items())
     try:
-        selected = jobs.sparkSession.sql(found[0].task_sql)
+        selected = spark.sql(f"WITH {views} SELECT * FROM ({found[0].task_sql})")
     finally:
-        for name in tables:
-            jobs.sparkSession.catalog.dropTempView(name)
+        for view in own.values():
+            spark.catalog.dropTempView(view)
     return selected.toDF("task_id").distinct()

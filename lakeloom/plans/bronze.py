@@ -6,12 +6,11 @@ from collections.abc import Iterable, Mapping
 from typing import Any
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakeloom.functions import named
 from lakeloom.functions.names import clean_names, stringify
 from lakeloom.functions.nested import flatten
+from lakeloom.operators.marks import newest
 from lakeloom.roles import is_true
 from lakeloom.sources.files import read_json_files, read_parquet_files, table_exists
 from lakeloom.sources.sinks import overwrite, replace_since
@@ -28,7 +27,7 @@ def _store(
 ) -> str | None:
     """Write, and take the new mark from the same pass.  Empty input keeps the old one."""
     seen = Observation()
-    df = df.observe(seen, F.max(named(partition)).alias("newest"))
+    df = df.observe(seen, newest(df, partition).alias("newest"))
     # Landed files lie by stamp already: a scan task writes few stamps, unshuffled.
     if mark is None:
         overwrite(df, target, [partition], rebalance=False)

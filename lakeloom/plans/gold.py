@@ -12,6 +12,7 @@ from lakeloom.functions import named
 from lakeloom.operators.history import (
     apply_snapshot,
     build_history,
+    extend_history,
     rebuild_dimension,
     snapshot_updates,
     update_dimension,
@@ -47,6 +48,16 @@ def update_dimension_table(
     return mark if newest is None else newest
 
 
+def _loaded_until(spark: SparkSession, target: str, roles: HistoryRoles, fmt: str) -> Any:
+    """The last day that left a mark in the history: the latest end among its partitions and
+    the latest start among the open versions."""
+    held = read_table(spark, target, fmt=fmt)
+    end, open_end = named(roles.valid_to).cast("date"), F.lit(OPEN_END).cast("date")
+    closed = held.select(end.alias("day")).filter(end < open_end).distinct()
+    started = held.filter(end == open_end).select(named(roles.valid_from).alias("day"))
+    return closed.union(started).agg(F.max("day")).first()[0]
+
+
 def update_history_table(
     spark: SparkSession,
     source: str,
@@ -58,9 +69,12 @@ def update_history_table(
 ) -> Any:
     """Build or extend a type-2 dimension; returns the newest date loaded.
 
-    The table is partitioned by the end of validity, so all open versions lie in one
-    partition and all versions closed by one run in another.  An increment reads and rewrites
-    just these two, however long the history is, and repeating it changes nothing."""
+    An increment applies the mark's day again, for it may have been corrected, and every day
+    after it, as if they had come one by one; repeating it changes nothing.  The table is
+    partitioned by the end of validity, so all open versions lie in one partition and those
+    closed on a day in another: an increment reads the open ones and those closed on the
+    mark's day, and rewrites these and the partitions of its own days, however long the
+    history is."""
     layout = [roles.valid_to]
     with scratch_tables(spark):
         if is_true(full_refresh) or not table_exists(spark, target):
@@ -68,17 +82,29 @@ def update_history_table(
             overwrite(build_history(rows, roles), target, layout, fmt)
             newest = read_mark(rows, roles.date_key)
         else:
-            rows = read_stamped(spark, source, roles.date_key, mark, fmt, evolved=False)
-            # Used three times below, and small against the history.
-            updates = materialize(snapshot_updates(rows, roles), "snapshot")
-            newest = read_mark(updates, roles.date_key)
+            loaded = _loaded_until(spark, target, roles, fmt)
+            days = [d for d in (loaded, mark) if d is not None and d != ""]
+            since_day = max(map(str, days)) if days else None
+            rows = read_stamped(spark, source, roles.date_key, since_day, fmt, evolved=False)
+            # Used several times below, and small against the history.
+            rows = materialize(rows, "days")
+            newest = read_mark(rows, roles.date_key)
             if newest is not None:
                 held = read_table(spark, target, fmt=fmt)
                 held = held.withColumn(roles.valid_to, named(roles.valid_to).cast("date"))
-                ends = [F.lit(OPEN_END).cast("date"), F.lit(newest).cast("date")]
-                touched = held.filter(named(roles.valid_to).isin(*ends))
+                ends = [F.lit(OPEN_END).cast("date"), F.lit(since_day).cast("date")]
                 highest = max_surrogate(held, roles.surrogate_key).first()[0]
-                result = apply_snapshot(updates, touched, roles, start=highest)
-                # Two partitions only, so a task writes two files at most: no rebalancing.
-                overwrite_partitions(result, target, layout, fmt, rebalance=False)
+                result = held.filter(named(roles.valid_to).isin(*ends))
+                day = named(roles.date_key).cast("date")
+                again = rows.filter(day == ends[1])
+                if not again.isEmpty():
+                    # The day of the mark may have been corrected since.  Keys that it lacks
+                    # are closed by the next day.
+                    updates = materialize(snapshot_updates(again, roles), "snapshot")
+                    result = apply_snapshot(updates, result, roles, highest, missing=False)
+                    result = materialize(result, "corrected")
+                    highest = max(highest, max_surrogate(result, roles.surrogate_key).first()[0])
+                if not rows.filter(day > ends[1]).isEmpty():
+                    result = extend_history(rows, result, roles, since_day, highest)
+                overwrite_partitions(result, target, layout, fmt)
     return mark if newest is None else newest

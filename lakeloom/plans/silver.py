@@ -13,7 +13,7 @@ from lakeloom.functions.typed import select_typed
 from lakeloom.operators.dedup import latest_per_batch, latest_per_key
 from lakeloom.operators.filters import drop_null_keys, keep_flagged
 from lakeloom.operators.marks import read_mark
-from lakeloom.operators.merge import partition_predicate, replace_batches, upsert
+from lakeloom.operators.merge import in_partitions, replace_batches, upsert
 from lakeloom.roles import SilverRoles, is_true
 from lakeloom.shared import materialize, scratch_tables
 from lakeloom.sources.files import read_stamped, table_exists
@@ -76,8 +76,8 @@ def write_silver(
         )
         if not (roles.partition_by and partitions_immutable):
             overwrite(merge(held, df), target, roles.partition_by, fmt, reads_target=True)
-        elif (touched := partition_predicate(df, roles.partition_by)) is not None:
-            merged = merge(held.filter(touched), df)
+        else:
+            merged = merge(in_partitions(held, df, roles.partition_by), df)
             overwrite_partitions(merged, target, roles.partition_by, fmt)
 
 
@@ -93,14 +93,20 @@ def update_silver(
     full_refresh: bool | str = False,
     strict: bool = False,
     fmt: str = "parquet",
+    inclusive: bool | None = None,
 ) -> Any:
     """Update a silver table from the bronze rows at or after ``mark``; returns the new mark.
     A missing target, a missing mark or ``full_refresh`` overwrite the table from all rows.
-    Without a write method the keys decide."""
+    Without a write method the keys decide.
+
+    Appends take only stamps after the mark, for the mark's own rows are there already; where
+    a stamp is complete once loaded, ``inclusive=False`` does so for the other methods too."""
     write_method = write_method or default_write_method(roles)
     if is_true(full_refresh) or mark is None or not table_exists(spark, target):
         mark, write_method = None, "overwrite"
-    bronze = read_stamped(spark, source, partition, mark, fmt)
+    if inclusive is None:
+        inclusive = write_method != "append"
+    bronze = read_stamped(spark, source, partition, mark, fmt, inclusive=inclusive, text=True)
     rows = silver_transform(bronze, roles, strict)
     write_silver(rows, target, roles, write_method, is_true(partitions_immutable), fmt)
     newest = read_mark(bronze, partition)

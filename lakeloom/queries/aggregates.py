@@ -12,12 +12,12 @@ from lakeloom.queries.inputs import (
     CUSTOMERS_SQL,
     DAILY_SQL,
     DIMENSION,
-    LINE_KEY,
-    LINE_TIES,
     LINES_OUT,
     LINES_SQL,
-    customers_with,
+    LINE_KEY,
+    LINE_TIES,
     daily_state,
+    held_customers,
     incoming_customers,
     portable,
     raw_lines,
@@ -158,7 +158,7 @@ SELECT c_custkey, c_name,
     AS customer_sk
 FROM incoming WHERE c_custkey NOT IN (SELECT c_custkey FROM dim)""")
 def surrogate_key_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dim = history.rebuild_dimension(customers_with(spark, sf_dir, "1-URGENT"), DIMENSION)
+    dim = history.rebuild_dimension(held_customers(spark, sf_dir), DIMENSION)
     fresh = history.new_members(incoming_customers(spark, sf_dir), dim, ["c_custkey"])
     start = keys.max_surrogate(dim, "customer_sk").scalar()
     return keys.number_rows(

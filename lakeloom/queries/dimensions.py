@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lakeloom.operators import filters, history
+from lakeloom.operators import history
 from lakeloom.plans import gold
 from lakeloom.queries import register
 from lakeloom.queries.inputs import (
@@ -13,11 +14,14 @@ from lakeloom.queries.inputs import (
     DIMENSION,
     HISTORY,
     HISTORY_OUT,
+    NEW_DAYS,
     before_last_day,
-    customers_with,
+    customers,
     daily_state,
     history_sql,
+    held_customers,
     incoming_customers,
+    last_days,
     portable,
 )
 from lakeloom.shared import materialize, scratch_path
@@ -29,12 +33,15 @@ CUSTOMER_OUT = (
 
 
 def dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return history.rebuild_dimension(customers_with(spark, sf_dir, "1-URGENT"), DIMENSION)
+    return history.rebuild_dimension(held_customers(spark, sf_dir), DIMENSION)
 
 
-@register(f"WITH {CUSTOMERS_SQL} SELECT {CUSTOMER_OUT} FROM dim")
+@register(f"""
+WITH whole AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS customer_sk FROM customer)
+SELECT {CUSTOMER_OUT} FROM whole""")
 def scd1_rebuild(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return portable(dimension(spark, sf_dir))
+    whole = customers(spark, sf_dir).drop("in_credit")
+    return portable(history.rebuild_dimension(whole, DIMENSION))
 
 
 @register(f"""
@@ -42,7 +49,7 @@ WITH {CUSTOMERS_SQL}
 SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_mktsegment
 FROM incoming ANTI JOIN held USING (c_custkey)""")
 def scd1_new_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    source, target = incoming_customers(spark, sf_dir), customers_with(spark, sf_dir, "1-URGENT")
+    source, target = incoming_customers(spark, sf_dir), held_customers(spark, sf_dir)
     return portable(history.new_members(source, target, ["c_custkey"]))
 
 
@@ -196,14 +203,65 @@ def scd2_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(history.apply_snapshot(updates, target, HISTORY))
 
 
-@register(f"WITH {INCREMENT_SQL}, {INCREMENT_RESULT} SELECT {HISTORY_OUT} FROM result")
+# The history before the last days is the target, extended by all of them at once.
+EXTEND_SQL = f"""
+{DAILY_SQL},
+marks AS (SELECT min(dt) AS day FROM (SELECT DISTINCT dt FROM daily ORDER BY dt DESC LIMIT {NEW_DAYS + 1})),
+past AS (SELECT daily.* FROM daily, marks WHERE dt <= day),
+{history_sql("past", "target")},
+days AS (SELECT DISTINCT dt AS day FROM daily WHERE dt >= (SELECT day FROM marks)),
+nexts AS (SELECT day, lead(day) OVER (ORDER BY day) AS next_day FROM days),
+states AS (
+  SELECT user_id, event_type, row_hash, (SELECT day FROM marks) AS dt FROM target WHERE is_current
+  UNION ALL SELECT user_id, event_type, sha256(coalesce(event_type, '∅')), dt FROM daily
+  WHERE dt > (SELECT day FROM marks)),
+seen AS (
+  SELECT states.*, next_day, lag(row_hash) OVER w AS before, lag(next_day) OVER w AS expected,
+    lead(dt) OVER w AS following
+  FROM states JOIN nexts ON dt = day WINDOW w AS (PARTITION BY user_id ORDER BY dt)),
+marked AS (
+  SELECT *, before IS NULL OR before <> row_hash OR coalesce(expected < dt, false) AS starts,
+    CASE WHEN following IS NULL OR following > next_day THEN next_day END AS gone
+  FROM seen),
+kept AS (
+  SELECT *, lead(CASE WHEN starts THEN dt ELSE gone END) OVER (PARTITION BY user_id ORDER BY dt)
+    AS later
+  FROM marked WHERE starts OR gone IS NOT NULL),
+fresh AS (
+  SELECT user_id, event_type, dt, row_hash, dt AS valid_from,
+    coalesce(gone, later, DATE '9999-12-31') AS valid_to
+  FROM kept WHERE starts),
+result AS (
+  SELECT target.user_id, target.event_type, target.dt, target.row_hash, target.valid_from,
+    CASE WHEN target.is_current THEN fresh.valid_to ELSE target.valid_to END AS valid_to, history_sk
+  FROM target LEFT JOIN fresh
+    ON target.user_id = fresh.user_id AND fresh.valid_from = (SELECT day FROM marks)
+  UNION ALL SELECT *, (SELECT max(history_sk) FROM target)
+    + row_number() OVER (ORDER BY user_id, valid_from)
+  FROM fresh WHERE valid_from > (SELECT day FROM marks)),
+extended AS (SELECT *, valid_to = DATE '9999-12-31' AS is_current FROM result)"""
+
+
+@register(f"WITH {EXTEND_SQL} SELECT {HISTORY_OUT} FROM extended")
+def scd2_extend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All new days in one pass, keys that leave and return among them."""
+    daily = materialize(daily_state(spark, sf_dir), "daily")
+    mark = last_days(daily)
+    past = history.build_history(daily.filter(F.col("dt") <= F.lit(mark)), HISTORY, unique=True)
+    return portable(history.extend_history(daily, materialize(past, "past"), HISTORY, mark))
+
+
+@register(f"WITH {EXTEND_SQL} SELECT {HISTORY_OUT} FROM extended")
 def gold_history_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same through tables: built from all days but the last, then extended by it."""
+    """The same through tables: built from all days but the last, then extended by these in
+    one call; a second call finds nothing new."""
     source, target = scratch_path(spark, "daily"), scratch_path(spark, "history")
-    daily = daily_state(spark, sf_dir)
-    before_last_day(daily).write.partitionBy("dt").parquet(source)
+    daily = materialize(daily_state(spark, sf_dir), "daily")
+    is_past = F.col("dt") <= F.lit(last_days(daily))
+    daily.filter(is_past).write.partitionBy("dt").parquet(source)
     mark = gold.update_history_table(spark, source, target, HISTORY)
-    filters.latest_snapshot(daily, "dt").write.mode("append").partitionBy("dt").parquet(source)
+    daily.filter(~is_past).write.mode("append").partitionBy("dt").parquet(source)
+    mark = gold.update_history_table(spark, source, target, HISTORY, mark)
     gold.update_history_table(spark, source, target, HISTORY, mark)
     columns = ["user_id", "event_type", "dt", *HISTORY.generated]
     return portable(read_table(spark, target).select(*columns))
@@ -214,7 +272,7 @@ def gold_dimension_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same through tables: built from the first source, then updated from another."""
     first, second = scratch_path(spark, "customers"), scratch_path(spark, "customers")
     target = scratch_path(spark, "dimension")
-    customers_with(spark, sf_dir, "1-URGENT").write.parquet(first)
+    held_customers(spark, sf_dir).write.parquet(first)
     incoming_customers(spark, sf_dir).write.parquet(second)
     gold.update_dimension_table(spark, first, target, DIMENSION)
     gold.update_dimension_table(spark, second, target, DIMENSION)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from typing import Any
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ByteType,
@@ -50,9 +52,15 @@ def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.withColumn("ship_date", F.to_date("l_shipdate")).select(*LINE_COLUMNS)
 
 
-def lines(spark: SparkSession, sf_dir: str, status: str) -> DataFrame:
+def of_load(status: Column | str, load: str) -> Column:
+    """Whether a row belongs to a load: finished ones to ``F``, all others to ``O``."""
+    finished = F.coalesce(F.col(status) if isinstance(status, str) else status, F.lit("")) == "F"
+    return finished if load == "F" else ~finished
+
+
+def lines(spark: SparkSession, sf_dir: str, load: str) -> DataFrame:
     """The lines of one load, the latest one per line key."""
-    load = raw_lines(spark, sf_dir).filter(F.col("l_linestatus") == status)
+    load = raw_lines(spark, sf_dir).filter(of_load("l_linestatus", load))
     return latest_per_key(load, LINE_KEY, ["ship_date"], LINE_TIES)
 
 
@@ -63,14 +71,14 @@ raw_lines AS (
   FROM lineitem),
 ranked_lines AS (
   SELECT *, row_number() OVER (
-    PARTITION BY l_linestatus, l_orderkey, l_linenumber
+    PARTITION BY l_linestatus IS NOT DISTINCT FROM 'F', l_orderkey, l_linenumber
     ORDER BY ship_date DESC, l_partkey DESC, l_suppkey DESC, l_quantity DESC, l_returnflag DESC
   ) AS rn FROM raw_lines),
 loads AS (
   SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_returnflag, l_linestatus,
          ship_date FROM ranked_lines WHERE rn = 1),
 target AS (SELECT * FROM loads WHERE l_linestatus = 'F'),
-updates AS (SELECT * FROM loads WHERE l_linestatus = 'O')"""
+updates AS (SELECT * FROM loads WHERE l_linestatus IS DISTINCT FROM 'F')"""
 
 LINES_OUT = """l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
   l_quantity, l_returnflag, l_linestatus, CAST(ship_date AS VARCHAR) AS ship_date"""
@@ -99,6 +107,16 @@ def daily_state(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last.select("user_id", "event_type", "dt")
 
 
+#: Days that an increment of several days brings.
+NEW_DAYS = 3
+
+
+def last_days(daily: DataFrame, n: int = NEW_DAYS) -> Any:
+    """The last day but ``n``."""
+    days = daily.select("dt").distinct().orderBy(F.col("dt").desc()).limit(n + 1)
+    return days.agg(F.min("dt")).first()[0]
+
+
 def before_last_day(daily: DataFrame) -> DataFrame:
     newest = daily.agg(F.max("dt")).scalar()
     return daily.filter(F.col("dt") < newest)
@@ -135,28 +153,35 @@ HISTORY_OUT = """user_id, event_type, CAST(dt AS VARCHAR) AS dt, row_hash,
   is_current, history_sk"""
 
 
-# --- customers: those with urgent orders are the dimension, with low ones the source ----
+# --- customers: those in credit are the dimension; the source has the others, and those of
+# --- one market segment again with changed names
 
 DIMENSION = DimensionRoles(business_keys=("c_custkey",), surrogate_key="customer_sk")
 
 
-def customers_with(spark: SparkSession, sf_dir: str, priority: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").filter(F.col("o_orderpriority") == priority)
-    keys = orders.select(F.col("o_custkey").alias("c_custkey"))
+def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["c_custkey", "c_name", "c_nationkey", "c_mktsegment"]
-    return table(spark, sf_dir, "customer").join(keys, "c_custkey", "left_semi").select(*columns)
+    in_credit = F.coalesce(F.col("c_acctbal") >= 0, F.lit(False)).alias("in_credit")
+    return table(spark, sf_dir, "customer").select(*columns, in_credit)
+
+
+def held_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return customers(spark, sf_dir).filter("in_credit").drop("in_credit")
 
 
 def incoming_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source of an update: names have changed since the dimension was built."""
-    return customers_with(spark, sf_dir, "5-LOW").withColumn("c_name", F.upper("c_name"))
+    again = F.coalesce(F.col("c_mktsegment") == "BUILDING", F.lit(False))
+    found = customers(spark, sf_dir).filter(~F.col("in_credit") | again).drop("in_credit")
+    return found.withColumn("c_name", F.upper("c_name"))
 
 
 CUSTOMERS_SQL = """
-held AS (
-  SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer
-  WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '1-URGENT')),
+split AS (
+  SELECT c_custkey, c_name, c_nationkey, c_mktsegment, coalesce(c_acctbal >= 0, false) AS in_credit
+  FROM customer),
+held AS (SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM split WHERE in_credit),
 dim AS (SELECT *, row_number() OVER (ORDER BY c_custkey) AS customer_sk FROM held),
 incoming AS (
-  SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_mktsegment FROM customer
-  WHERE c_custkey IN (SELECT o_custkey FROM orders WHERE o_orderpriority = '5-LOW'))"""
+  SELECT c_custkey, upper(c_name) AS c_name, c_nationkey, c_mktsegment FROM split
+  WHERE NOT in_credit OR coalesce(c_mktsegment = 'BUILDING', false))"""

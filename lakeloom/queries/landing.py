@@ -6,7 +6,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.queries import register
-from lakeloom.queries.inputs import LINE_COLUMNS, LINES_OUT, LINES_SQL, portable, raw_lines, table
+from lakeloom.queries.inputs import (
+    LINE_COLUMNS,
+    LINES_OUT,
+    LINES_SQL,
+    of_load,
+    portable,
+    raw_lines,
+    table,
+)
 from lakeloom.shared import scratch_path
 from lakeloom.sources import tables
 from lakeloom.sources.files import read_json_files, read_parquet_files, read_table
@@ -54,7 +62,7 @@ def incremental_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 WITH {LINES_SQL}
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_linestatus,
   CASE WHEN l_linestatus = 'F' THEN l_partkey END AS l_partkey,
-  CASE WHEN l_linestatus = 'O' THEN CAST(ship_date AS VARCHAR) END AS ship_date,
+  CASE WHEN l_linestatus IS DISTINCT FROM 'F' THEN CAST(ship_date AS VARCHAR) END AS ship_date,
   CASE WHEN l_linestatus = 'F' THEN '20250101000000' ELSE '20250201000000' END AS partition
 FROM raw_lines""")
 def scan_parquet_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,8 +70,8 @@ def scan_parquet_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landed-parquet")
     lines = raw_lines(spark, sf_dir)
     shared = ["l_orderkey", "l_linenumber", "l_linestatus"]
-    first = lines.filter(F.col("l_linestatus") == "F").select(*shared, "l_partkey")
-    second = lines.filter(F.col("l_linestatus") == "O").select(*shared, "ship_date")
+    first = lines.filter(of_load("l_linestatus", "F")).select(*shared, "l_partkey")
+    second = lines.filter(of_load("l_linestatus", "O")).select(*shared, "ship_date")
     land_rows(first, path, stamp="20250101000000")
     land_rows(second, path, stamp="20250201000000")
     landed = read_parquet_files(spark, path, "partition")

@@ -17,6 +17,7 @@ from lakeloom.queries.inputs import (
     LINES_OUT,
     LINES_SQL,
     lines,
+    of_load,
     portable,
     table,
 )
@@ -56,7 +57,8 @@ years AS (
   SELECT o_custkey, CAST(year(o_orderdate) AS BIGINT) AS order_year, o_orderkey, o_orderstatus
   FROM orders),
 target AS (
-  SELECT * FROM years WHERE o_orderstatus = 'F' QUALIFY row_number() OVER (
+  SELECT * FROM years
+  WHERE o_orderstatus = 'F' OR order_year < (SELECT max(order_year) FROM years) QUALIFY row_number() OVER (
     PARTITION BY o_custkey, order_year ORDER BY o_orderkey DESC) = 1),
 updates AS (
   SELECT * FROM years WHERE order_year = (SELECT max(order_year) FROM years)
@@ -69,17 +71,20 @@ SELECT * FROM target WHERE NOT (
   order_year IN (SELECT order_year FROM updates) AND o_custkey IN (SELECT o_custkey FROM updates))
 UNION ALL SELECT * FROM updates""")
 def partition_scoped_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each customer's last finished order of a year, updated by all orders of the newest
-    year.  A customer's rows of other years are out of scope and stay."""
+    """Each customer's last order of a year, of the newest year the last finished one, updated
+    by all orders of the newest year.  A customer's rows of other years are out of scope and
+    stay."""
     years = table(spark, sf_dir, "orders").select(
         "o_custkey",
         F.year("o_orderdate").cast("bigint").alias("order_year"),
         "o_orderkey",
         "o_orderstatus",
     )
-    finished = years.filter(F.col("o_orderstatus") == "F")
-    target = latest_per_key(finished, ["o_custkey", "order_year"], ["o_orderkey"])
     newest = latest_snapshot(years, "order_year")
+    known = of_load("o_orderstatus", "F") | (
+        F.col("order_year") < years.agg(F.max("order_year")).scalar()
+    )
+    target = latest_per_key(years.filter(known), ["o_custkey", "order_year"], ["o_orderkey"])
     updates = latest_per_key(newest, ["o_custkey"], ["o_orderkey"])
     by_customer = partial(merge.upsert, keys=["o_custkey"], unique=True)
     return merge.merge_in_partitions(target, updates, ["order_year"], by_customer)

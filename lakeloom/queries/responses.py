@@ -13,9 +13,12 @@ from lakeloom.queries.inputs import table
 @register("""
 WITH items AS (
   SELECT *, url AS item_url FROM pages UNION ALL SELECT *, url || '#2' FROM pages)
-SELECT page_id, NOT contains(url, '?') AS is_last_page, item_url FROM items""")
+SELECT page_id, NOT contains(url, '?') AS is_last_page, 'ok' AS body_status, item_url FROM items
+UNION ALL SELECT page_id, true, 'empty', NULL FROM pages
+UNION ALL SELECT page_id, NULL, 'unreadable', NULL FROM pages""")
 def response_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Listings of two items; another page follows where the address has a query."""
+    """Listings of two items (another page follows where the address has a query), of none,
+    and one that is cut off."""
 
     def item(url):
         return F.struct(F.col("page_id").cast("string").alias("name"), url.alias("url"))
@@ -24,7 +27,9 @@ def response_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("url").contains("?"), F.col("url")).alias("next"),
         F.array(item(F.col("url")), item(F.concat("url", F.lit("#2")))).alias("results"),
     )
-    landed = table(spark, sf_dir, "pages").select("page_id", F.to_json(listing).alias("body"))
+    empty = F.lit('{"next": null, "results": []}')
+    bodies = F.array(F.to_json(listing), empty, F.concat(F.lit("{"), F.col("url")))
+    landed = table(spark, sf_dir, "pages").select("page_id", F.explode(bodies).alias("body"))
     return responses.response_items(landed, "body").drop("body")
 
 
@@ -73,14 +78,27 @@ def response_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("""
-SELECT p_partkey, p_brand AS field_id FROM part UNION ALL SELECT p_partkey, p_type FROM part""")
+SELECT p_partkey, 'ok' AS body_status, p_brand AS field_id FROM part
+UNION ALL SELECT p_partkey, 'ok', p_type FROM part
+UNION ALL SELECT p_partkey, 'empty', NULL FROM part
+UNION ALL SELECT p_partkey, 'unreadable', NULL FROM part
+UNION ALL SELECT p_partkey, 'unreadable', NULL FROM part""")
 def response_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Object descriptions with two identified fields and one without an identifier."""
+    """Object descriptions with two identified fields and one without an identifier, with no
+    field, with trailing text, and none at all."""
     text = (
         "<response><Type><Fields><Field><ID>%s</ID></Field><Field><LABEL>x</LABEL></Field>"
         "<Field><ID>%s</ID></Field></Fields></Type></response>"
     )
     landed = table(spark, sf_dir, "part").select(
-        "p_partkey", F.format_string(text, "p_brand", "p_type").alias("body")
+        "p_partkey",
+        F.explode(
+            F.array(
+                F.format_string(text, "p_brand", "p_type"),
+                F.lit("<response/>"),
+                F.concat(F.lit("<response/>"), F.col("p_brand")),
+                F.lit(None).cast("string"),
+            )
+        ).alias("body"),
     )
     return responses.response_fields(landed, "body").drop("body")

@@ -3,44 +3,59 @@
 from __future__ import annotations
 
 import operator
-from typing import Any
+from typing import Any, NamedTuple
+from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from lakeloom.functions import named
+from lakeloom.functions.stamps import stamp_key
 from lakeloom.operators.filters import since
 from lakeloom.shared import hadoop_path
 
 
+class StampFolder(NamedTuple):
+    stamp: str
+    path: str
+    changed: int  # when the folder was last written to
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table has been written at ``path``; a missing one forces a full refresh."""
     fs, where = hadoop_path(spark, path)
     if not fs.exists(where):
         return False
-    return any(not s.getPath().getName().startswith(".") for s in fs.listStatus(where))
+    names = [s.getPath().getName() for s in fs.listStatus(where)]
+    # What starts so is hidden: also what a write that failed has left.
+    return any(not n.startswith((".", "_")) for n in names)
 
 
-def stamp_folders(spark: SparkSession, path: str, partition: str) -> list[str]:
-    """The stamps found as ``partition=stamp`` folders, oldest first (one per extraction)."""
+def stamp_folders(spark: SparkSession, path: str, partition: str) -> list[StampFolder]:
+    """The ``partition=stamp`` folders, oldest stamp first (one per extraction)."""
     fs, where = hadoop_path(spark, path)
-    prefix = f"{partition}="
-    names = [s.getPath().getName() for s in fs.listStatus(where) if s.isDirectory()]
-    stamps = [n.removeprefix(prefix) for n in names if n.startswith(prefix)]
-    return sorted(stamps, key=int) if all(map(str.isdigit, stamps)) else sorted(stamps)
+    prefix, found = f"{partition}=", []
+    for status in fs.listStatus(where):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix):
+            # Folder names have special characters escaped; the stamp has not.
+            stamp = unquote(name.removeprefix(prefix))
+            found.append(StampFolder(stamp, f"{path}/{name}", status.getModificationTime()))
+    return sorted(found, key=lambda f: (stamp_key(f.stamp), f.stamp))
 
 
 def folders_since(
-    path: str, partition: str, stamps: list[str], mark: Any, inclusive: bool = True
-) -> list[str]:
-    """The folders of the stamps at or after ``mark`` (or only after it).  With nothing new the
-    last one still tells the schema; a filter on the stamp empties it."""
-    mark, above = str(mark), operator.ge if inclusive else operator.gt
-    if all(map(str.isdigit, [*stamps, mark])):
-        kept = [s for s in stamps if above(int(s), int(mark))]
-    else:
-        kept = [s for s in stamps if above(s, mark)]
-    return [f"{path}/{partition}={s}" for s in kept or stamps[-1:]]
+    folders: list[StampFolder], mark: Any, inclusive: bool = True
+) -> list[StampFolder]:
+    """The folders of the stamps at or after ``mark`` (or only after it)."""
+    above = operator.ge if inclusive else operator.gt
+    return [f for f in folders if above(stamp_key(f.stamp), stamp_key(mark))]
+
+
+def _text_stamp(schema: StructType, partition: str) -> StructType:
+    """``schema`` with the stamp as text, last: guessed as a number it loses leading zeros."""
+    fields = [f for f in schema.fields if f.name != partition]
+    return StructType([*fields, StructField(partition, StringType())])
 
 
 def _scan(
@@ -55,21 +70,23 @@ def _scan(
 ) -> DataFrame:
     """Read the stamp folders from ``mark`` on.  Older ones are neither listed nor read, which
     matters most for JSON, whose schema inference would read the whole landing area."""
-    reader = spark.read.format(fmt).options(**options)
-    if schema is not None:
-        reader = reader.schema(schema)
-    if not (partition and mark):
-        df = reader.load(path)
-    else:
-        stamps = stamp_folders(spark, path, partition)
-        df = reader.option("basePath", path).load(
-            folders_since(path, partition, stamps, mark, inclusive)
-        )
-    if partition and partition in df.columns:
-        # Folder discovery guesses a number; the stamp is text.
-        df = df.withColumn(partition, named(partition).cast(StringType()))
-        df = since(df, partition, mark, inclusive)
-    return df
+
+    def reader() -> DataFrameReader:
+        return spark.read.format(fmt).options(**options).option("basePath", path)
+
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    folders = stamp_folders(spark, path, partition) if partition else []
+    if not folders:
+        if partition and schema is not None:
+            return spark.createDataFrame([], _text_stamp(schema, partition))
+        return (reader() if schema is None else reader().schema(schema)).load(path)
+    wanted = folders_since(folders, mark, inclusive) if mark else folders
+    # With nothing new the last folder still tells the schema.
+    paths = [f.path for f in wanted or folders[-1:]] if mark else path
+    found = schema if schema is not None else reader().load(paths).schema
+    df = reader().schema(_text_stamp(found, partition)).load(paths)
+    return df if wanted else df.where(F.lit(False))
 
 
 def read_json_files(
@@ -120,15 +137,23 @@ def read_table(
 
 
 def stamped_schema(
-    spark: SparkSession, path: str, partition: str, fmt: str = "parquet"
+    spark: SparkSession,
+    path: str,
+    partition: str,
+    fmt: str = "parquet",
+    folders: list[StampFolder] | None = None,
 ) -> StructType | None:
-    """The schema of a table's newest stamp, or None for a table without stamp folders.  The
-    sinks give the newest stamp every column the table ever had."""
-    stamps = stamp_folders(spark, path, partition) if fmt == "parquet" else []
-    if not stamps:
+    """The schema of a table's newest stamp, and of the stamps written after it, or None for a
+    table without stamp folders.  The sinks give what they write every column the table ever
+    had, so the files last written know all of them."""
+    if fmt != "parquet":
         return None
-    newest = f"{path}/{partition}={stamps[-1]}"
-    return spark.read.format(fmt).option("basePath", path).load(newest).schema
+    folders = stamp_folders(spark, path, partition) if folders is None else folders
+    if not folders:
+        return None
+    last = [f.path for f in folders if f.changed >= folders[-1].changed]
+    reader = spark.read.format(fmt).options(basePath=path, mergeSchema=True)
+    return reader.load(last).schema
 
 
 def read_stamped(
@@ -138,15 +163,22 @@ def read_stamped(
     mark: Any = None,
     fmt: str = "parquet",
     evolved: bool = True,
+    inclusive: bool = True,
+    text: bool = False,
 ) -> DataFrame:
-    """A table from a mark on, by stamp folders where it has them: one folder tells the schema,
-    and only the folders from the mark on are listed and read.  Merging the schemas of all
-    files, as for other ``evolved`` tables, would open the whole table for every increment."""
-    schema = stamped_schema(spark, path, partition, fmt) if partition else None
+    """A table from a mark on (or only after it), by stamp folders where it has them: few
+    folders tell the schema, and only those from the mark on are listed and read.  Merging the
+    schemas of all files, as for other ``evolved`` tables, would open the whole table for every
+    increment.  ``text`` says that the stamp is an extraction stamp, not a date or a number."""
+    folders = stamp_folders(spark, path, partition) if partition else []
+    schema = stamped_schema(spark, path, partition, fmt, folders) if folders else None
     if schema is None:
-        return read_table(spark, path, partition, mark, fmt, evolved)
+        return since(read_table(spark, path, fmt=fmt, evolved=evolved), partition, mark, inclusive)
+    if text:
+        schema = _text_stamp(schema, partition)
     reader = spark.read.format(fmt).option("basePath", path).schema(schema)
     if mark is None or mark == "":
         return reader.load(path)
-    stamps = stamp_folders(spark, path, partition)
-    return since(reader.load(folders_since(path, partition, stamps, mark)), partition, mark)
+    wanted = folders_since(folders, mark, inclusive)
+    df = reader.load([f.path for f in wanted or folders[-1:]])
+    return df if wanted else df.where(F.lit(False))

@@ -1,4 +1,5 @@
 import datetime as dt
+from xml.etree import ElementTree
 
 import pytest
 from pyspark.errors import DateTimeException, NumberFormatException
@@ -208,9 +209,32 @@ def test_response_fields_and_items(spark):
         [("<r><Field><ID>A</ID></Field><x><Field><ID>B</ID></Field><Field/></x></r>",), ("bad",)],
         ["b"],
     )
-    assert [r.field_id for r in responses.response_fields(df, "b").collect()] == ["A", "B"]
+    found = responses.response_fields(df, "b").collect()
+    assert [(r.body_status, r.field_id) for r in found] == [
+        ("ok", "A"), ("ok", "B"), ("unreadable", None),
+    ]
     pages = spark.createDataFrame(
         [(1, '{"next":"u2","results":[{"url":"a"},{"url":"b"}]}'), (2, '{"next":null,"results":[]}'),
          (3, '{"next":null,"results":[{"url":"c"}]}')], ["n", "b"])
     got = responses.response_items(pages, "b").drop("b")
-    assert rows(got) == [(1, False, "a"), (1, False, "b"), (3, True, "c")]
+    assert rows(got) == [(1, False, "ok", "a"), (1, False, "ok", "b"), (2, True, "empty", None),
+                         (3, True, "ok", "c")]
+    bad = spark.createDataFrame([("{cut",), (None,)], "b string")
+    assert {tuple(r)[1:] for r in responses.response_items(bad, "b").collect()} == {
+        (None, "unreadable", None)
+    }
+
+
+@pytest.mark.parametrize("text", [
+    "<r/>", "<r/>tail", "<a/><b/>", "<a></a><a></a>", "<a><a>1</a></a>", "<a><b></a>", "", "plain", None,
+    '<?xml version="1.0"?>\n<!-- c --><a x="1">2</a>\n', "<a>&bad;</a>", "<a>1 &amp; 2</a>",
+    "<a></a><a><b></a>", "<a", "<a>x</a >", "&amp;<a/>",
+])
+def test_well_formed_is_what_a_parser_says(spark, text):
+    try:
+        ElementTree.fromstring(text or "")
+        expected = True
+    except ElementTree.ParseError:
+        expected = False
+    df = spark.createDataFrame([(text,)], "b string")
+    assert df.select(responses.well_formed(F.col("b"))).first()[0] is expected

@@ -161,16 +161,21 @@ def test_replace_batches(spark, target):
     ]
 
 
-def test_partition_guard_and_nulls(spark, target):
+def test_partitions_of_updates_and_nulls(spark, target):
     updates = spark.createDataFrame([(1, None, 9), (2, "it's", 9)], target.schema)
-    touched = merge.partition_predicate(updates, ["p"])
     held = spark.createDataFrame([(1, None, 0), (2, "it's", 0), (3, "x", 0)], target.schema)
-    assert rows(held.filter(touched).select("k")) == [(1,), (2,)]
+    assert rows(merge.in_partitions(held, updates, ["p"]).select("k")) == [(1,), (2,)]
+    assert rows(merge.in_partitions(held, updates, ["p"], touched=False).select("k")) == [(3,)]
+    assert merge.in_partitions(held, updates.limit(0), ["p"]).isEmpty()
     with pytest.raises(ValueError):
-        merge.partition_predicate(updates, ["p"], max_partitions=1)
-    with pytest.raises(ValueError):
-        merge.partition_predicate(updates, [])
-    assert merge.partition_predicate(updates.limit(0), ["p"]) is None
+        merge.in_partitions(held, updates, [])
+
+
+def test_more_partitions_than_any_guard(spark):
+    held = spark.range(3000).selectExpr("id AS k", "id AS p", "'old' AS v")
+    updates = spark.range(1500, 4000).selectExpr("id AS k", "id AS p", "'new' AS v")
+    merged = merge.merge_in_partitions(held, updates, ["p"], lambda t, u: merge.upsert(t, u, ["k"]))
+    assert rows(merged.groupBy("v").count()) == [("new", 2500), ("old", 1500)]
 
 
 def test_rows_of_other_partitions_are_out_of_scope(spark, target):
@@ -252,7 +257,7 @@ def levels(spark, tasks, parents):
     edges = lineage.lineage_edges(
         ids, targets, spark.createDataFrame(parents, "dataset_path string, parent_path string")
     )
-    return {r.task_id: r for r in lineage.lineage_levels(edges, max_levels=6).collect()}
+    return {r.task_id: r for r in lineage.lineage_levels(edges).collect()}
 
 
 def test_chain_diamond_and_orphan(spark):
@@ -274,10 +279,34 @@ def test_unreachable_cycle_is_reported(spark):
     assert got["t:a"].batch_num == 1
 
 
-def test_cycle_behind_a_root_is_an_error(spark):
-    with pytest.raises(ValueError, match="cycle"):
-        levels(spark, ["t:a", "t:b", "t:c"],
-               [("t:b", "t:a"), ("t:b", "t:c"), ("t:c", "t:b")])
+def test_cycle_behind_a_root_is_reported(spark):
+    got = levels(spark, ["t:a", "t:b", "t:c", "t:d"],
+                 [("t:b", "t:a"), ("t:b", "t:c"), ("t:c", "t:b"), ("t:d", "t:c")])
+    assert {k: (r.batch_num, r.task_status) for k, r in got.items()} == {
+        "t:a": (1, "ok"), "t:b": (None, "cycle"), "t:c": (None, "cycle"), "t:d": (None, "cycle"),
+    }
+
+
+def test_chain_of_many_levels(spark):
+    n = 24
+    got = levels(spark, [f"t:{k:03}" for k in range(n)],
+                 [(f"t:{k:03}", f"t:{k - 1:03}") for k in range(1, n)])
+    assert [r.batch_num for _, r in sorted(got.items())] == list(range(1, n + 1))
+
+
+def test_one_parameter_set_per_task(spark):
+    static = spark.createDataFrame([("a", "x"), ("b", "y")], "task_id string, path string")
+    dynamic = spark.createDataFrame([("a", "2"), ("a", "1")], "task_id string, min_partition string")
+    assert rows(metadata.resolve_params(static, dynamic)) == [("a", "x", "1"), ("b", "y", None)]
+
+
+def test_views_of_the_caller_stay(spark):
+    spark.range(7).createOrReplaceTempView("control_tasks")
+    jobs = spark.createDataFrame([(1, "j", "select task_id from control_tasks where ok")],
+                                 "job_id int, job_name string, task_sql string")
+    tasks = spark.createDataFrame([("t:a", True), ("t:b", False)], "task_id string, ok boolean")
+    assert rows(metadata.job_tasks(jobs, 1, {"control_tasks": tasks})) == [("t:a",)]
+    assert spark.table("control_tasks").count() == 7
 
 
 def test_level_tasks(spark):
