@@ -56,6 +56,12 @@ def small(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.count() <= limit else df
 
 
+def gathered(df: DataFrame, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, in one partition if it is counted and has few rows: joins and aggregates of such
+    tables then need no shuffle.  Larger ones are left to Spark's partitioning."""
+    return df.coalesce(1) if df.count() <= limit else df
+
+
 def pieces(texts: pa.Array, most: int = 4_000_000) -> Iterator[tuple[int, list[bytes]]]:
     """Slices (first row, UTF-8 texts) of about ``most`` bytes; null becomes the empty text.
     A single longer text makes a slice of its own."""

@@ -8,14 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import small
+from lakeloom.llm.common import gathered, small
 from lakeloom.shared import materialize
 
 #: Rounds in which the members of a bucket are held against one of them.
-ROUNDS = 3
+ROUNDS = 2
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -25,21 +25,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     of its neighbours, once for the larger and once for the smaller ones.
     """
     edges = edges.select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo"))
-    edges = materialize(edges.where("hi <> lo").distinct(), "edges")
+    edges = gathered(materialize(edges.where("hi <> lo").distinct(), "edges"))
     before = None
     while True:
         both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).union(edges.select("lo", "hi"))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         least = least.select("u", F.least("u", "m").alias("m"))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("hi"), F.col("m").alias("lo"))
-        large = materialize(large.where("hi <> lo").distinct(), "edges")
+        large = gathered(materialize(large.where("hi <> lo").distinct(), "edges"))
         least = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small_star = (
             large.join(least, "hi")
             .select(F.explode(F.array(F.struct(F.col("lo").alias("u"), "m"), F.struct(F.col("hi").alias("u"), "m"))).alias("e"))
             .select(F.col("e.u").alias("hi"), F.col("e.m").alias("lo"))
         )
-        edges = materialize(small_star.where("hi <> lo").distinct(), "edges")
+        edges = gathered(materialize(small_star.where("hi <> lo").distinct(), "edges"))
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)"))).first()
         if now == before:
             break
@@ -48,65 +48,77 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     return edges.select(F.col("hi").alias("id"), F.col("lo").alias("root")).union(roots)
 
 
-def linked(members: DataFrame, verify: Callable[[DataFrame], DataFrame], rounds: int = ROUNDS) -> DataFrame:
+def linked(
+    members: DataFrame,
+    verify: Callable[[DataFrame], DataFrame],
+    possible: Callable[[Column, Column], Column],
+    central: str = "0",
+    rounds: int = ROUNDS,
+) -> DataFrame:
     """(id, root) of the ids that are linked to others.
 
-    ``members`` (bucket, id) is a written table; ids of one bucket are candidates of each
-    other, and ``verify`` keeps the true links of pairs (a, b).  The result is what verifying
-    all candidates would give, but pairs inside a component need not be looked at: in a few
-    rounds each bucket's members are held against one of them, which joins groups of copies at
-    a cost in proportion to their size; then every pair that still lies in two components is
-    verified.
+    ``members`` (bucket, id, info) is a written table; ids of one bucket are candidates of each
+    other.  ``possible`` of the infos of two is false only where no link can be; ``verify``
+    keeps the true links of pairs (a, b).  The result is what verifying all candidates would
+    give, but pairs inside a component need not be looked at.  First, in a few rounds, the
+    members of a bucket are held against one of them, the first by the SQL expression
+    ``central`` of its info: this joins groups of copies at a cost in proportion to their
+    size.  Then every possible pair that still lies in two components is verified.
     """
     links, known = None, None
+    members = gathered(members)
+    rank = F.expr(central).alias("rank")
     for turn in range(rounds + 1):
         if known is None:
             placed = members.withColumn("root", F.col("id"))
         else:
             root = F.coalesce("root", "id").alias("root")
-            placed = members.join(known, "id", "left").select("bucket", "id", root)
+            placed = members.join(known, "id", "left").select("bucket", "id", "info", root)
         roots = placed.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1"))
         torn = roots.where("r0 <> r1").select("bucket")
         placed = materialize(placed.join(torn, "bucket"), "torn")
         if placed.isEmpty():
             break
+        placed = gathered(placed)
+        # The most central id of each component in a bucket; the largest component is the main.
+        first = F.struct(rank, F.xxhash64(F.lit(turn), "id").alias("h"), "id", "info")
+        parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min(first).alias("first"))
+        parts = parts.withColumn("order", F.struct("n", F.negative("first.rank"), "root", "first"))
+        main = parts.groupBy("bucket").agg(F.max("order").alias("main"))
         if turn < rounds:
-            pick = F.min(F.struct(F.xxhash64(F.lit(turn), "root"), F.xxhash64(F.lit(turn), "id"), "id", "root"))
-            if turn:  # the larger component of a bucket is the better one to be held against
-                sizes = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min("id").alias("id"))
-                pick = F.max(F.struct("n", F.xxhash64(F.lit(turn), "root"), "id", "root"))
-                one = sizes.groupBy("bucket").agg(pick.alias("p"))
-            else:
-                one = placed.groupBy("bucket").agg(pick.alias("p"))
-            one = one.select("bucket", F.col("p.id").alias("other"), F.col("p.root").alias("other_root"))
-            pairs = placed.join(one, "bucket").where("root <> other_root")
-        else:
-            main = (
-                placed.groupBy("bucket", "root")
-                .agg(F.count("*").alias("n"))
-                .groupBy("bucket")
-                .agg(F.max(F.struct("n", "root"))["root"].alias("main"))
+            others = main.select(
+                "bucket",
+                F.col("main.first.id").alias("other"),
+                F.col("main.first.info").alias("other_info"),
+                F.col("main.root").alias("other_root"),
             )
-            few = placed.join(main, "bucket").where("root <> main")
-            few = few.select("bucket", "main", F.col("id").alias("other"), F.col("root").alias("other_root"))
-            pairs = placed.join(few, "bucket").where(
-                "root <> other_root and (root = main or id < other)"
+            free = F.col("root") != F.col("other_root")
+        else:
+            few = placed.join(main.select("bucket", F.col("main.root").alias("main")), "bucket")
+            others = few.where("root <> main").select(
+                "bucket",
+                "main",
+                F.col("id").alias("other"),
+                F.col("info").alias("other_info"),
+                F.col("root").alias("other_root"),
             )
-        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b")).distinct()
-        found = materialize(verify(materialize(pairs, "pairs")).select("a", "b"), "links")
+            free = F.expr("root <> other_root and (root = main or id < other)")
+        free &= possible(F.col("info"), F.col("other_info"))
+        pairs = placed.join(others, "bucket").where(free)
+        pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))
+        found = materialize(verify(materialize(pairs.distinct(), "pairs")).select("a", "b"), "links")
         links = found if links is None else links.union(found)
-        if turn < rounds and found.isEmpty():
+        if found.isEmpty() and turn < rounds:
             continue
-        known = materialize(components(links), "components")
+        known = gathered(materialize(components(links), "components"))
     if known is None:
-        empty = members.select("id", F.col("id").alias("root"))
-        return empty.limit(0)
+        return members.select("id", F.col("id").alias("root")).limit(0)
     return known
 
 
 def shared_buckets(rows: DataFrame) -> DataFrame:
-    """The rows (bucket, id) whose bucket holds several of them, as a written table; counts go
-    through the shuffle before ids do."""
+    """The rows (bucket, id, ...) whose bucket holds several of them, as a written table; counts
+    go through the shuffle before ids do."""
     several = rows.groupBy("bucket").count().where("count > 1").select("bucket")
     several = materialize(several, "buckets")
     return materialize(rows.join(small(several), "bucket"), "members")

@@ -175,27 +175,43 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", simi
     # One row of each shingle set stands for all of them.
     first = Window.partitionBy("same").orderBy("file", "at")
     heads = rows.where("n > 0").withColumn("k", F.row_number().over(first)).where("k = 1")
-    heads = materialize(heads.select(F.col("same").alias("id"), "n", "bands", "file", "at"), "heads")
-    spread = heads.select(F.explode("bands").alias("bucket"), "id")
-    members = graph.shared_buckets(spread)
-    wanted = materialize(members.select("id").distinct().join(heads.drop("bands"), "id"), "wanted")
-    sets = at.join(small(wanted), ["file", "at"]).select("id", shingle_set(F.col("text")).alias("items"))
-    sets = materialize(sets, "shingle-sets")
+    heads = heads.select("same", "n", "bands", "file", "at", F.monotonically_increasing_id().alias("id"))
+    heads = materialize(heads, "heads")
+    members = graph.shared_buckets(heads.select(F.explode("bands").alias("bucket"), "id"))
+    wanted = members.select("id").distinct().join(heads.drop("bands", "same"), "id")
+    wanted = materialize(wanted, "wanted")
+    sets = at.join(small(wanted.drop("n")), ["file", "at"])
+    sets = materialize(sets.select("id", shingle_set(F.col("text")).alias("items")), "shingle-sets")
+    # Shingles that no other candidate has cannot be shared: they bound the similarity.
+    own = (
+        sets.select(F.explode("items").alias("item"), "id")
+        .groupBy("item")
+        .agg(F.count("*").alias("holders"), F.min("id").alias("id"))
+        .where("holders = 1")
+        .groupBy("id")
+        .agg(F.count("*").alias("own"))
+    )
+    info = F.struct("n", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared")).alias("info")
+    infos = wanted.join(own, "id", "left").select("id", info)
+    infos = materialize(infos.where(F.col("info.shared") >= F.col("info.n") * similarity), "infos")
+    members = materialize(members.join(infos, "id"), "members")
+
+    def possible(a: Column, b: Column) -> Column:
+        most = F.least(a["shared"], b["shared"])
+        return most >= (a["n"] + b["n"] - most) * similarity
 
     def verify(pairs: DataFrame) -> DataFrame:
-        a = wanted.select(F.col("id").alias("a"), F.col("n").alias("na"))
-        b = wanted.select(F.col("id").alias("b"), F.col("n").alias("nb"))
-        near = pairs.join(a, "a").join(b, "b").where(
-            F.least("na", "nb") >= F.greatest("na", "nb") * similarity
-        )
         x = sets.select(F.col("id").alias("a"), F.col("items").alias("xa"))
         y = sets.select(F.col("id").alias("b"), F.col("items").alias("xb"))
-        both = F.size(F.array_intersect("xa", "xb"))
-        held = near.join(x, "a").join(y, "b").withColumn("both", both)
-        return held.where(F.col("both") >= similarity * (F.col("na") + F.col("nb") - F.col("both")))
-
-    known = graph.linked(members, verify)
-    found = rows.join(small(known.withColumnRenamed("id", "same")), "same", "left")
+        held = pairs.join(x, "a").join(y, "b")
+        held = held.withColumn("both", F.size(F.array_intersect("xa", "xb")))
+        either = F.size("xa") + F.size("xb") - F.col("both")
+        return held.where(F.col("both") >= either * similarity)
+
+    known = graph.linked(members, verify, possible, "info.n - info.shared")
+    roots = heads.select("id", "same").join(small(known), "id").select("same", "root")
+    found = rows.join(small(materialize(roots, "near-roots")), "same", "left")
+    found = found.withColumn("root", F.col("root").cast("string"))
     alone = F.concat_ws(":", "file", "at")
     group = F.when(F.col("n") == 0, alone).otherwise(F.coalesce("root", "same"))
     found = found.select("doc_id", "file", "at", group.alias("group"))
