@@ -101,11 +101,11 @@ def levenshtein(a, b):
 
 
 def python_simhash(words):
-    total = Counter()
-    for w in words:
+    total, weights = Counter(), [1 if len(w) <= 4 else len(w) for w in words]
+    for w, weight in zip(words, weights, strict=True):
         h = xxhash.xxh64_intdigest(w.encode(), seed=42)
-        total.update(i for i in range(64) if h >> i & 1)
-    return sum(1 << i for i in range(64) if 2 * total[i] > len(words))
+        total.update({i: weight for i in range(64) if h >> i & 1})
+    return sum(1 << i for i in range(64) if 2 * total[i] > sum(weights))
 
 
 def test_lines_are_those_of_all_pairs(spark, documents):
@@ -143,9 +143,9 @@ def test_lines_are_those_of_all_pairs(spark, documents):
 def test_long_lines_have_the_same_simhash(spark):
     words = [f"w{k % 90}" for k in range(5000)]
     short = words[:100]
-    df = spark.createDataFrame([(words,), (short,)], "w array<string>")
-    got = [r[0] & (2**64 - 1) for r in df.select(lines.simhash(F.col("w"))).collect()]
-    assert got == [python_simhash(words), python_simhash(short)]
+    df = spark.createDataFrame([(1, words), (2, short)], "id int, words array<string>")
+    got = {r.id: r.simhash & (2**64 - 1) for r in lines.with_simhash(df).collect()}
+    assert got == {1: python_simhash(words), 2: python_simhash(short)}
 
 
 def test_encoding_is_the_librarys(spark):
