@@ -38,44 +38,5 @@ NO_STATUS_TEXT = "Response missing status."
 FAILED_TEXT = "Response failed status."
 BAD_XML_TEXT = "Response xml is unexpected."
 
-# Metadata tables, by name.
-METADATA_SCHEMAS = {
-    "control_jobs": "job_id int, job_name string, task_sql string",
-    "control_tasks": (
-        "task_id string, is_active boolean, stage_name string, lineage_name string, "
-        "flag1 string, flag2 string, flag3 string, flag4 string, flag5 string, flag6 string"
-    ),
-    "dataset_lineage": "dataset_path string, parent_path string",
-    "task_json_to_delta": (
-        "task_id string, target_path string, source_path string, flatten_mode string, "
-        "multi_line string, partition_name string, full_refresh string"
-    ),
-    "task_json_to_delta_flatten": "task_id string, depth int, column string",
-    "task_json_to_delta_dynamic": "task_id string, min_partition string",
-    "task_parquet_to_delta": (
-        "task_id string, target_path string, source_path string, partition_name string, "
-        "full_refresh string"
-    ),
-    "task_parquet_to_delta_dynamic": "task_id string, min_partition string",
-    "task_update_silver": (
-        "task_id string, target_path string, source_path string, write_method string, "
-        "partition_update string, full_refresh string"
-    ),
-    "task_update_silver_schema": (
-        "task_id string, expression string, column_type string, column_name string, "
-        "column_order int, is_filter boolean, is_primary_key boolean, is_batch_key boolean, "
-        "is_order_by int, is_output boolean, is_partition_by int"
-    ),
-    "task_update_silver_dynamic": "task_id string, min_partition string",
-    "task_create_scd2": (
-        "task_id string, target_path string, source_path string, full_refresh string"
-    ),
-    "task_create_scd2_schema": (
-        "task_id string, column_name string, is_primary_key boolean, is_business_key boolean, "
-        "is_date_key boolean, is_valid_from boolean, is_valid_to boolean, "
-        "is_is_current boolean, is_row_hash boolean, is_surrogate_key boolean"
-    ),
-    "task_create_scd2_dynamic": "task_id string, min_date_key string",
-    "task_identity_transfer": "task_id string, target_path string, source_path string",
-    "task_to_warehouse": "task_id string, target_path string, source_path string",
-}
+# The table of jobs.
+JOBS_SCHEMA = "job_id int, job_name string, task_sql string"

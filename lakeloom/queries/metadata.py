@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeloom.constants import METADATA_SCHEMAS
+from lakeloom.constants import JOBS_SCHEMA
 from lakeloom.functions import paths
 from lakeloom.operators import lineage, marks, metadata
 from lakeloom.plans import control
@@ -63,7 +63,7 @@ def control_jobs(spark: SparkSession) -> DataFrame:
             (1, "active_tasks", "select task_id from control_tasks where is_active"),
             (2, "user_tasks", "select task_id from control_tasks where stage_name = 'user'"),
         ],
-        METADATA_SCHEMAS["control_jobs"],
+        JOBS_SCHEMA,
     )
 
 

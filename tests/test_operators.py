@@ -4,7 +4,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lakeloom.operators import aggregates, dedup, filters, keys, lineage, marks, merge, metadata
-from lakeloom.constants import METADATA_SCHEMAS
+from lakeloom.constants import JOBS_SCHEMA
 
 few = settings(
     max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture]
@@ -229,7 +229,7 @@ def test_params(spark):
 def test_job_tasks(spark):
     jobs = spark.createDataFrame(
         [(1, "raw", "select task_id from control_tasks where stage_name = 'raw'")],
-        METADATA_SCHEMAS["control_jobs"],
+        JOBS_SCHEMA,
     )
     tasks = spark.createDataFrame([("a", "raw"), ("b", "raw"), ("c", "x")], "task_id string, stage_name string")
     assert rows(metadata.job_tasks(jobs, 1, {"control_tasks": tasks})) == [("a",), ("b",)]
@@ -237,16 +237,11 @@ def test_job_tasks(spark):
 
 
 def test_unknown_job(spark):
-    jobs = spark.createDataFrame([], METADATA_SCHEMAS["control_jobs"])
+    jobs = spark.createDataFrame([], JOBS_SCHEMA)
     with pytest.raises(ValueError):
         metadata.job_tasks(jobs, 1, {})
 
 
-@pytest.mark.parametrize("name", list(METADATA_SCHEMAS))
-def test_metadata_schemas_parse(spark, name):
-    assert spark.createDataFrame([], METADATA_SCHEMAS[name]).columns
-
-
 # --- lineage ---
 
 
