@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -20,6 +23,30 @@ BROADCAST_ROWS = 300_000
 SPACES = r"[\x20\x09-\x0D]+"
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once, as ``--py-files`` would: their Python workers
+    need not have it on their path."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parents[2]
+    path = f"{tempfile.mkdtemp(prefix='lakeloom-')}/lakeloom.zip"
+    with zipfile.ZipFile(path, "w") as archive:
+        for file in sorted((root / "lakeloom").rglob("*.py")):
+            archive.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(path)
+    _shipped.add(app)
+
+
+def arrow_udf(kind):
+    """``F.arrow_udf`` for functions of this package."""
+    ship(SparkSession.getActiveSession())
+    return F.arrow_udf(kind)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import id_text, pieces
+from lakeloom.llm.common import arrow_udf, id_text, pieces, ship
 
 #: Rows of each language that the fit may use: the bound of the training sample.
 TRAIN_ROWS_PER_LANG = 1000
@@ -187,6 +187,7 @@ def document_frequency(docs: DataFrame) -> tuple[int, np.ndarray]:
             [pa.array(np.append(at, WIDTH)), pa.array(np.append(total[at], rows))], ["at", "n"]
         )
 
+    ship(docs.sparkSession)
     found = docs.select("text").mapInArrow(count, "at bigint, n bigint")
     sums = found.groupBy("at").agg(F.sum("n").alias("n")).collect()
     total = np.zeros(WIDTH + 1, np.int64)
@@ -214,7 +215,7 @@ def train(docs: DataFrame, rows_per_lang: int = TRAIN_ROWS_PER_LANG) -> Model:
         .distinct()
     )
 
-    @F.arrow_udf(T.StructType().add("at", T.BinaryType()).add("logs", T.BinaryType()))
+    @arrow_udf(T.StructType().add("at", T.BinaryType()).add("logs", T.BinaryType()))
     def numbers(texts: pa.Array) -> pa.Array:
         found = [x for _, part in pieces(texts) for x in features(lowered(part))]
         at = pa.array([x[0].astype(np.int32).tobytes() for x in found], pa.binary())
@@ -241,7 +242,7 @@ def predict(text: Column, model: Model) -> Column:
     language every text is ``und`` with score 0.
     """
 
-    @F.arrow_udf(T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType()))
+    @arrow_udf(T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType()))
     def run(texts: pa.Array) -> pa.Array:
         names, probabilities = [], []
         for _, part in pieces(texts):

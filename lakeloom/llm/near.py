@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.llm import graph
-from lakeloom.llm.common import located, pieces, powers, prefix_hash, small
+from lakeloom.llm.common import arrow_udf, located, pieces, powers, prefix_hash, small
 from lakeloom.shared import materialize
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -125,7 +125,7 @@ SKETCH = (
 def sketch(text: Column) -> Column:
     """Per text: ``n`` distinct shingles, ``same`` (a digest of their set) and ``bands``."""
 
-    @F.arrow_udf(SKETCH)
+    @arrow_udf(SKETCH)
     def run(texts: pa.Array) -> pa.Array:
         sizes, same, keys = [], [], []
         for _, part in pieces(texts, 2_000_000):
@@ -146,7 +146,7 @@ def sketch(text: Column) -> Column:
 
 
 def shingle_set(text: Column) -> Column:
-    @F.arrow_udf(T.ArrayType(T.LongType()))
+    @arrow_udf(T.ArrayType(T.LongType()))
     def run(texts: pa.Array) -> pa.Array:
         sizes, items = [np.zeros(1, np.int64)], []
         for _, part in pieces(texts, 2_000_000):

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import pieces
+from lakeloom.llm.common import arrow_udf, pieces
 
 #: Pages that training may read, none longer than so many bytes: the bound of its sample.
 SAMPLE_PAGES, SAMPLE_BYTES = 150, 60_000
@@ -564,7 +564,7 @@ def main_text(page: Column, model: Model) -> Column:
     """The main text of a page: its blocks that are labelled so, in order, one a line.  Null
     and empty pages, and pages without main text, give the empty text."""
 
-    @F.arrow_udf("string")
+    @arrow_udf("string")
     def run(column: pa.Array) -> pa.Array:
         out = []
         for _, part in pieces(column, 1_000_000):

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import id_text, pieces, powers, prefix_hash
+from lakeloom.llm.common import arrow_udf, id_text, pieces, powers, prefix_hash
 
 #: Labelled documents the fit may use: the bound of the training sample.
 TRAIN_DOCUMENTS = 3000
@@ -216,7 +216,7 @@ def held_out(doc_id: Column) -> Column:
 
 
 def _features(text: Column) -> Column:
-    @F.arrow_udf("struct<features: binary, lengths: binary>")
+    @arrow_udf("struct<features: binary, lengths: binary>")
     def run(texts: pa.Array) -> pa.Array:
         found = [line_features([t]) for _, part in pieces(texts) for t in part]
         features = pa.array([x.features.tobytes() for x in found], pa.binary())
@@ -263,7 +263,7 @@ def train(
 def score(text: Column, model: Model) -> Column:
     """The score of whole texts in [0, 1]; null is the empty text, which is one empty line."""
 
-    @F.arrow_udf("double")
+    @arrow_udf("double")
     def run(texts: pa.Array) -> pa.Array:
         found = [scores(model, line_features(part)) for _, part in pieces(texts)]
         return pa.array(np.concatenate(found) if found else [], pa.float64())

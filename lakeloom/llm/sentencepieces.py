@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import pieces
+from lakeloom.llm.common import arrow_udf, pieces
 
 SPACE = "▁"
 #: Encoded words and checked neighbours that a task remembers; only speed depends on it.
@@ -206,7 +206,7 @@ DIGESTS = (
 def encode(text: Column, model_file: str) -> Column:
     """Ids and decoded text of whole texts.  Null is the empty text: begin and end only."""
 
-    @F.arrow_udf(KIND)
+    @arrow_udf(KIND)
     def run(texts: pa.Array) -> pa.Array:
         model, ids, back = load(model_file), [], []
         for _, part in pieces(texts):
@@ -223,7 +223,7 @@ def encode(text: Column, model_file: str) -> Column:
 def digests(text: Column, model_file: str) -> Column:
     """Token count and digests of ``encode``'s ids and decoded text, made where these are."""
 
-    @F.arrow_udf(DIGESTS)
+    @arrow_udf(DIGESTS)
     def run(texts: pa.Array) -> pa.Array:
         model, rows = load(model_file), ([], [], [])
         for _, part in pieces(texts):
@@ -272,7 +272,7 @@ def token_rows(docs: DataFrame, model_file: str, *, text: str = "text") -> DataF
     """``row`` (the columns of ``docs``) with the ids as an array of numbers, their count, and
     the digests of ``digest_documents``: what a training job reads."""
 
-    @F.arrow_udf(ROWS)
+    @arrow_udf(ROWS)
     def run(texts: pa.Array) -> pa.Array:
         model, ids, back = load(model_file), [], []
         for _, part in pieces(texts):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import located
+from lakeloom.llm.common import located, ship
 from lakeloom.shared import materialize
 
 #: Vectors of a shard and queries of a block, on average: they bound what a task holds.
@@ -203,6 +203,7 @@ def nearest(
         i = t.schema.field("vec_id").type
         return [pa.int64(), pa.int64(), i, i, pa.int64(), pa.int64(), pa.float64()]
 
+    ship(vectors.sparkSession)
     key = ["width", "shard", "block"]
     found = candidates.groupBy(*key).cogroup(asked.groupBy(*key)).applyInArrow(
         search, RESULT.format(id=id_type)

@@ -22,7 +22,7 @@ from pyspark.errors import PySparkValueError
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeloom.llm.common import located, small
+from lakeloom.llm.common import located, ship, small
 from lakeloom.shared import materialize, scratch_path
 
 SKIPPABLE = 0x184D2A5D
@@ -150,6 +150,7 @@ def write(pages: DataFrame, folder: str | None = None, *, archive_bytes: int = A
             ["path", "records"],
         )
 
+    ship(spark)
     manifest = rows.mapInArrow(run, "path string, records bigint")
     return materialize(manifest.withColumn("folder", F.lit(folder)), "warc-manifest")
 
@@ -286,5 +287,6 @@ def read(manifest: DataFrame, *, payload: bool = False) -> DataFrame:
                             rows, size = [], 0
                 yield made(rows)
 
+    ship(manifest.sparkSession)
     spread = manifest.repartition(F.col("path"))
     return spread.select("folder", "path").mapInArrow(run, fields + ", error string")
