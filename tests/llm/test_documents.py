@@ -216,3 +216,47 @@ def test_languages_of_held_out_documents(spark):
     rows = queries.QUERIES["op7_language_id"](spark, sf).collect()
     held = [r for r in rows if r.held_out]
     assert np.mean([r.lang_pred == truth[r.doc_id] for r in held]) > 0.98
+
+
+def edited_lines(rng, vocabulary):
+    """(kind, line, edited line) of lines of 1 to 120 words."""
+    made = []
+    for least, most in ((1, 3), (4, 7), (8, 15), (16, 30), (31, 60), (61, 120)):
+        for kind in ("letter", "dropped", "replaced", "tenth", "fifth"):
+            for _ in range(25):
+                words = rng.choices(vocabulary, k=rng.randint(least, most))
+                edited = list(words)
+                k = rng.randrange(len(words))
+                if kind == "letter":
+                    j = rng.randrange(len(words[k]))
+                    edited[k] = words[k][:j] + "#" + words[k][j + 1 :]
+                elif kind == "dropped":
+                    del edited[k]
+                else:
+                    n = {"replaced": 1, "tenth": len(words) // 10, "fifth": len(words) // 5}[kind]
+                    for k in rng.sample(range(len(words)), max(1, n)):
+                        edited[k] = rng.choice(vocabulary)
+                made.append(((least, kind), " ".join(words), " ".join(edited)))
+    return made
+
+
+def test_similar_lines_are_found_at_every_length(spark, documents):
+    rng = random.Random(6)
+    texts = [r.text or "" for r in table(spark, SF, "documents").collect()]
+    vocabulary = sorted({w for w in " ".join(texts).lower().split()})
+    pairs = []
+    for kind, a, b in edited_lines(rng, vocabulary):
+        most = int(max(len(a), len(b)) * 0.2 + 1e-9)
+        if a != b and a and b and abs(len(a) - len(b)) <= most and levenshtein(a, b) <= most:
+            pairs.append((kind, a, b))
+    rows = [(2 * i + k, p[1 + k], "en", "a") for i, p in enumerate(pairs) for k in (0, 1)]
+    found = lines.dedup(documents(rows)).where("removed > 0").select("row.doc_id").collect()
+    gone = {r.doc_id for r in found}
+    total, hits = Counter(), Counter()
+    for i, (kind, _, _) in enumerate(pairs):
+        total[kind] += 1
+        hits[kind] += 2 * i + 1 in gone
+    print({kind: f"{hits[kind]}/{n}" for kind, n in total.items()})
+    for (least, kind), n in total.items():
+        bound = 0.6 if kind == "fifth" else 0.9
+        assert hits[least, kind] >= bound * n, (least, kind, hits[least, kind], n)
