@@ -1,10 +1,10 @@
 """Near-duplicate documents by ProbMinHash, banding and verification.
 
-A document is the weighted set of its shingles of five words; a shingle that comes ``c`` times
-weighs ``1 + ln c``.  Each shingle's arrivals are a Poisson process whose rate is its weight;
-every arrival falls into one register, which keeps the earliest.  Two documents agree in a
-register with the probability Jaccard similarity of their weighted sets, which for equal
-weights is the Jaccard similarity.  A shingle's process ends once it is later than all
+A document is the set of its shingles of five words.  Each shingle's arrivals are a Poisson
+process whose rate is its weight; every arrival falls into one register, which keeps the
+earliest.  Two documents agree in a register with the probability Jaccard similarity of their
+weighted sets.  All shingles weigh one, however often they come, so this is the Jaccard
+similarity of the sets, by which candidates are judged.  A shingle's process ends once it is later than all
 registers.  Documents that agree in a band of registers are candidates, and candidates are
 links if the Jaccard similarity of their shingle sets is at least 0.8, computed exactly.
 """
@@ -129,8 +129,8 @@ def sketch(text: Column) -> Column:
     def run(texts: pa.Array) -> pa.Array:
         sizes, same, keys = [], [], []
         for _, part in pieces(texts, 2_000_000):
-            doc, item, count = shingles(part)
-            keys.append(bands(sketches(len(part), doc, item, 1 + np.log(count))).astype(np.int64).ravel())
+            doc, item, _ = shingles(part)
+            keys.append(bands(sketches(len(part), doc, item, np.ones(len(item)))).astype(np.int64).ravel())
             n = np.bincount(doc, minlength=len(part))
             ends = np.cumsum(n)
             for size, end in zip(n.tolist(), ends.tolist(), strict=True):

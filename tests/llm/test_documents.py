@@ -260,3 +260,16 @@ def test_similar_lines_are_found_at_every_length(spark, documents):
     for (least, kind), n in total.items():
         bound = 0.6 if kind == "fifth" else 0.9
         assert hits[least, kind] >= bound * n, (least, kind, hits[least, kind], n)
+
+
+def test_near_copies_with_repeated_passages(spark, documents):
+    rng = random.Random(8)
+    rows = []
+    for k in range(40):
+        words = [f"w{k}x{i}" for i in range(84)]
+        passage = [f"p{k}x{i}" for i in range(12)] * rng.choice([20, 100, 300, 1000])
+        rows += [(2 * k, " ".join(words)), (2 * k + 1, " ".join(words + passage))]
+    expected = jaccard_classes(rows)
+    assert sum(i != c for i, c in expected.items()) == 40
+    found = near.classes(documents([(i, t, "en", "a") for i, t in rows]))
+    assert {r.doc_id: r.class_id for r in found.collect()} == expected
