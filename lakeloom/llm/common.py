@@ -58,16 +58,23 @@ def located(df: DataFrame) -> DataFrame:
     too, so they tell apart rows that agree in every column.  A frame that is not a plain scan
     is written to the shared folder first.  ``file`` is a 64-bit hash of the path.
     """
-    row = F.struct("*").alias("row")
+    df = scanned(df)
+    where = df.metadataColumn("_metadata")
+    return df.select(
+        F.struct("*").alias("row"),
+        F.xxhash64(where["file_path"]).alias("file"),
+        where["row_index"].alias("at"),
+    )
+
+
+def scanned(df: DataFrame) -> DataFrame:
+    """``df`` if it is a plain scan, else a scan of it as written to the shared folder: what
+    asks twice where its rows lie must ask one writing of it."""
     try:
-        where = df.metadataColumn("_metadata")
-        return df.select(
-            row,
-            F.xxhash64(where["file_path"]).alias("file"),
-            where["row_index"].alias("at"),
-        )
+        df.select(df.metadataColumn("_metadata")["row_index"])
     except AnalysisException:
-        return located(materialize(df, "located"))
+        return materialize(df, "located")
+    return df
 
 
 def id_text(doc_id: Column) -> Column:

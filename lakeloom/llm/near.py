@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lakeloom.llm import graph
-from lakeloom.llm.common import arrow_udf, located, pieces, powers, prefix_hash, small
+from lakeloom.llm.common import arrow_udf, located, pieces, powers, prefix_hash, scanned, small
 from lakeloom.shared import materialize
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -60,7 +60,7 @@ def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     doc = np.searchsorted(gaps, first, "right")
     n = len(word)
     total = np.zeros(n, np.uint64)
-    for i in range(SHINGLE):
+    for i in range(min(SHINGLE, n)):
         total *= _ODD
         total[: n - i] += word[i:]
     whole = np.zeros(n, bool)
@@ -233,6 +233,7 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", simi
 
 def keep_one(docs: DataFrame, **options) -> DataFrame:
     """``docs`` with one document of each class."""
+    docs = scanned(docs)
     found = classes(docs, **options)
     gone = materialize(found.where("not kept").select("file", "at"), "near-gone")
     return located(docs).join(small(gone), ["file", "at"], "left_anti").select("row.*")

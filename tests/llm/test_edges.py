@@ -86,3 +86,15 @@ def test_mix_of_odd_rows(spark, odd):
     assert drawn.select("row.*").columns == odd.columns
     words = drawn.agg(F.sum(mixing.words(F.col("row.text")))).first()[0]
     assert words == sum(r.taken for r in rows)
+
+
+@pytest.mark.parametrize("kind", ["made", "union"])
+def test_frames_that_are_no_scans(spark, kind):
+    first = "one two three four five six seven eight nine ten"
+    rows = [(1, f"{first}\nown line of the first"), (2, f"{first}\nown line of the first"), (3, "something else")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    if kind == "union":
+        docs = docs.where("doc_id = 1").union(docs.where("doc_id > 1"))
+    assert sorted(r.doc_id for r in near.keep_one(docs).collect()) == [1, 3]
+    texts = {r.doc_id: r.text for r in lines.without_repeats(docs).collect()}
+    assert texts == {1: rows[0][1], 2: "", 3: "something else"}
