@@ -37,20 +37,23 @@ _TOKEN = re.compile(
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Elements whose contents are no text of the page.
-SKIPPED = frozenset(
-    "head script style noscript template textarea select button svg iframe object canvas math title".split()
-)
+#: Elements whose contents are no markup, and the head: skipped up to their end tag.
+SKIPPED = frozenset("head script style noscript textarea iframe title".split())
+#: Elements whose contents are no text of the page; they end with their parent at the latest.
+HIDDEN = frozenset("template select button svg object canvas".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp "
-    "small span strike strong sub sup time tt u var wbr br".split()
+    "small span strike strong sub sup time tt u var wbr br "
+    "math mi mn mo ms mtext mspace mrow mfrac msqrt mroot mstyle merror mpadded mphantom msub msup msubsup "
+    "munder mover munderover mmultiscripts mprescripts none mtable mtr mtd semantics annotation annotation-xml "
+    "maction menclose mfenced".split()
 )
 #: An opening tag ends open elements of these names.
 ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
-_SCOPE = frozenset("ul ol dl table body html article section div td th".split())
+_SCOPE = frozenset("ul ol dl table body html article section div td th".split()) | HIDDEN
 
 
 class Block(NamedTuple):
@@ -62,13 +65,13 @@ class Block(NamedTuple):
 def blocks(page: str) -> list[Block]:
     """The blocks of a page that have text, in its order.
 
-    Comments, declarations and the contents of ``SKIPPED`` elements are left out; character
+    Comments, declarations and the contents of ``SKIPPED`` and ``HIDDEN`` elements are left out; character
     references are decoded, white space (``<br>`` too) becomes one space.
     """
     found: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
-    linked = links = 0
+    linked = links = hidden = 0
     where: tuple | None = None
 
     def close() -> None:
@@ -80,15 +83,16 @@ def blocks(page: str) -> list[Block]:
         parts, linked, where = [], 0, None
 
     def drop(n: int) -> None:
-        nonlocal links
+        nonlocal links, hidden
         links -= sum(name == "a" for name, _ in stack[n:])
+        hidden -= sum(name in HIDDEN for name, _ in stack[n:])
         del stack[n:]
 
     at = 0
     while at < len(page):
         token = _TOKEN.search(page, at)
         stop = token.start() if token else len(page)
-        if stop > at:
+        if stop > at and not hidden:
             text = page[at:stop]
             if where is None and not text.isspace():
                 where = tuple(stack) if len(stack) <= 16 else (*stack[:6], *stack[-10:])
@@ -115,17 +119,23 @@ def blocks(page: str) -> list[Block]:
         if name == "br":
             parts.append(" ")
             continue
-        if name not in INLINE:
+        inner = name in INLINE or name in HIDDEN
+        if name in HIDDEN:
+            parts.append(" ")
+        if not inner and not hidden:
             close()
         if closing:
             for n in range(len(stack) - 1, -1, -1):
                 if stack[n][0] == name:
+                    was = hidden
                     drop(n)
+                    if was and not hidden and not inner:
+                        close()
                     break
             continue
         if name in VOID or attributes.endswith("/"):
             continue
-        if name not in INLINE:
+        if not inner:
             for n in range(len(stack) - 1, -1, -1):
                 if stack[n][0] == "p" or stack[n][0] in ENDS.get(name, ()):
                     drop(n)
@@ -138,6 +148,7 @@ def blocks(page: str) -> list[Block]:
                 marks += " class=hidden"
         stack.append((name, marks))
         links += name == "a"
+        hidden += name in HIDDEN
     close()
     return found
 

@@ -171,3 +171,15 @@ def test_odd_pages(spark, model, path):
     assert {r["row"].text for r in found} == {"own"}
     assert [r.text for r in found if r["row"].page_id == 1] == [""]
     assert pagetext.extract(odd.where("page_id < 0"), model).count() == 0
+
+
+def test_hidden_elements_end_with_their_parent():
+    def texts(page):
+        return [b.text for b in pagetext.blocks(page)]
+
+    for name in ("button", "select", "object", "canvas", "svg", "template"):
+        assert texts(f"<header><{name}>no<p>no</header><p>one</p><p>two") == ["one", "two"]
+        assert texts(f"<header><{name}>no</header><p>one</p><{name}>no</{name}><p>two") == ["one", "two"]
+        assert texts(f"<p>one <{name}><div>no</div><g>no</g></{name}> two</p>three") == ["one two", "three"]
+    assert texts("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then") == ["if x=2 then"]
+    assert texts("<p>one<script>no <p>no") == ["one"]
