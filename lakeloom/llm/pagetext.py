@@ -40,7 +40,7 @@ VOID = frozenset("area base br col embed hr img input link meta source track wbr
 #: Elements whose contents are no markup, and the head: skipped up to their end tag.
 SKIPPED = frozenset("head script style noscript textarea iframe title".split())
 #: Elements whose contents are no text of the page; they end with their parent at the latest.
-HIDDEN = frozenset("template select button svg object canvas".split())
+UNSEEN = frozenset("template select button svg object canvas".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp "
     "small span strike strong sub sup time tt u var wbr br "
@@ -53,7 +53,7 @@ ENDS = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"},
     "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
 }
-_SCOPE = frozenset("ul ol dl table body html article section div td th".split()) | HIDDEN
+_SCOPE = frozenset("ul ol dl table body html article section div td th".split()) | UNSEEN
 
 
 class Block(NamedTuple):
@@ -65,7 +65,7 @@ class Block(NamedTuple):
 def blocks(page: str) -> list[Block]:
     """The blocks of a page that have text, in its order.
 
-    Comments, declarations and the contents of ``SKIPPED`` and ``HIDDEN`` elements are left out; character
+    Comments, declarations and the contents of ``SKIPPED`` and ``UNSEEN`` elements are left out; character
     references are decoded, white space (``<br>`` too) becomes one space.
     """
     found: list[Block] = []
@@ -85,7 +85,7 @@ def blocks(page: str) -> list[Block]:
     def drop(n: int) -> None:
         nonlocal links, hidden
         links -= sum(name == "a" for name, _ in stack[n:])
-        hidden -= sum(name in HIDDEN for name, _ in stack[n:])
+        hidden -= sum(name in UNSEEN for name, _ in stack[n:])
         del stack[n:]
 
     at = 0
@@ -119,8 +119,8 @@ def blocks(page: str) -> list[Block]:
         if name == "br":
             parts.append(" ")
             continue
-        inner = name in INLINE or name in HIDDEN
-        if name in HIDDEN:
+        inner = name in INLINE or name in UNSEEN
+        if name in UNSEEN:
             parts.append(" ")
         if not inner and not hidden:
             close()
@@ -148,7 +148,7 @@ def blocks(page: str) -> list[Block]:
                 marks += " class=hidden"
         stack.append((name, marks))
         links += name == "a"
-        hidden += name in HIDDEN
+        hidden += name in UNSEEN
     close()
     return found
 
