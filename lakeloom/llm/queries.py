@@ -8,13 +8,16 @@ from pyspark.sql import functions as F
 
 from lakeloom.llm import (
     exact,
+    fim,
     langid,
+    lexical,
     lines,
     mixing,
     near,
     pagetext,
     quality,
     sentencepieces,
+    voronoi,
     vptree,
     warc,
 )
@@ -152,3 +155,109 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = quality.train(docs, table(spark, sf_dir, "labels"))
     held = quality.held_out(F.col("row.doc_id")).alias("held_out")
     return quality.classify(docs, model).select("row.doc_id", held, "score", "predicted")
+
+
+@register(
+    """
+    WITH good AS (
+        SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+        WHERE embedding IS NOT NULL
+          AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    ), scored AS (
+        SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+        FROM good q JOIN good c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+        WHERE q.vec_id % 50 = 0
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+    )
+    SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM ranked WHERE rank <= 5
+    """
+)
+def op11_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return voronoi.largest_products(vectors, F.col("vec_id") % 50 == 0, 5)
+
+
+@register(
+    """
+    WITH parts AS (
+        SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS p,
+               sha256('7:' || coalesce(doc_id::VARCHAR, '')) AS d
+        FROM documents
+    ), counted AS (
+        SELECT *, len(p) - 1 AS ends, len(p) - 1 + (t <> '' AND p[-1] <> '')::INT AS n,
+               ('0x' || d[1:8])::BIGINT AS h1, ('0x' || d[9:16])::BIGINT AS h2,
+               ('0x' || d[17:24])::BIGINT AS h3, ('0x' || d[25:32])::BIGINT AS h4
+        FROM parts
+    ), cut AS (
+        SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+               CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100
+                    THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+        FROM counted
+    ), heads AS (
+        SELECT *, length(array_to_string(p[1:a], chr(10))) + (a BETWEEN 1 AND ends)::INT AS one,
+               length(array_to_string(p[1:b], chr(10))) + (b BETWEEN 1 AND ends)::INT AS two
+        FROM cut
+    ), three AS (
+        SELECT *, t[1:one] AS prefix, t[one + 1:two] AS middle, t[two + 1:] AS suffix FROM heads
+    )
+    SELECT doc_id, n::BIGINT AS n, form,
+           CASE WHEN form <> 'plain' THEN one::BIGINT END AS prefix_chars,
+           CASE WHEN form <> 'plain' THEN (two - one)::BIGINT END AS middle_chars,
+           sha256(CASE form WHEN 'plain' THEN t
+                            WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+                            ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+           sha256(t) AS restored_sha256
+    FROM three
+    """
+)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    made = fim.transform(docs)
+    back = fim.restored(F.col("output"), F.col("form"))
+    return made.select(
+        "row.doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2("output", 256).alias("output_sha256"),
+        F.sha2(back, 256).alias("restored_sha256"),
+    )
+
+
+_TERMS = r"""regexp_extract_all(
+        translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+
+
+@register(
+    f"""
+    WITH terms AS (
+        SELECT doc_id, unnest({_TERMS}) AS term FROM documents
+    ), tf AS (
+        SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY ALL
+    ), sizes AS (
+        SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY doc_id
+    ), mean AS (
+        SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM sizes
+    ), weights AS (
+        SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1)))::BIGINT AS w
+        FROM tf, mean GROUP BY term, docs
+    ), impacts AS (
+        SELECT doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // words))) AS x
+        FROM tf JOIN weights USING (term) JOIN sizes USING (doc_id), mean
+    ), items AS (
+        SELECT item_id, unnest(list_distinct({_TERMS})) AS term FROM benchmark
+    ), scored AS (
+        SELECT item_id, doc_id, sum(x)::BIGINT AS score FROM items JOIN impacts USING (term)
+        GROUP BY ALL HAVING score > 0
+    ), ranked AS (
+        SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM scored
+    )
+    SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 50
+    """
+)
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"), 50)
