@@ -29,6 +29,8 @@ SAMPLE_ROWS, PIVOTS = 2048, 256
 BLOCK_ROWS, PIECE_ROWS = 4096, 4096
 #: Components are multiplied by this and rounded down.
 SCALE = 256.0
+#: Vectors with larger components have no pivot near them and go to every block.
+_LARGE = 1e100
 #: Bounds are loosened by this share against rounding.
 _SLACK = 1e-9
 _TILE = 256
@@ -89,10 +91,13 @@ def nearest_pivot(vector: Column, pivots: np.ndarray, scale: float) -> Column:
             rest = beyond - (near**2).sum(1)
             for rows in np.array_split(at, -(-len(at) // 4096)):
                 x = whole_numbers(vectors.take(pa.array(rows)), int(width), scale)
+                large = np.abs(x).max(1, initial=0) > _LARGE
+                x[large] = 0
                 mine = (beyond - 2 * x[:, :common] @ near.T).argmin(1)
                 gap = ((x[:, :common] - near[mine]) ** 2).sum(1) + (x[:, common:] ** 2).sum(1)
                 cell[rows], norm2[rows] = mine, (x**2).sum(1)
                 r[rows] = np.sqrt(gap + np.maximum(rest[mine], 0))
+                r[rows[large]] = norm2[rows[large]] = np.inf
         return pa.StructArray.from_arrays([pa.array(cell), pa.array(r), pa.array(norm2)], CELL.names)
 
     return run(vector)
@@ -156,6 +161,7 @@ def _routes(rows: DataFrame, pivots: np.ndarray, k: int, block_rows: int, piece_
     # f of the (k + 1)-th best core row, a query itself being one of them at most.
     reach = F.col("radius") + F.col("d") + F.col("r")
     low = (F.col("norm2") - reach * reach) - _SLACK * (F.col("norm2") + reach * reach)
+    low = F.when(reach < float("inf"), low).otherwise(-float("inf"))
     rank = F.row_number().over(Window.partitionBy("width", "asked").orderBy(F.desc("low")))
     sure = asked.join(core, ["width", "cell"]).select("width", "asked", low.alias("low"))
     sure = sure.withColumn("k", rank).where(F.col("k") == k + 1).select("width", "asked", F.col("low").alias("sure"))
@@ -227,6 +233,8 @@ def largest_products(
     width = int(widths.argmax())
     sample = sample.filter(pc.equal(sample["width"], width))
     known = whole_numbers(sample["v"], width, scale) if len(sample) else np.zeros((1, 1))
+    known = known[np.abs(known).max(1, initial=0) <= _LARGE]
+    known = known if len(known) else np.zeros((1, width))
     centres = fit_pivots(known, max(1, min(pivots, math.isqrt(total) // 8)))
     rows = rows.withColumn("c", nearest_pivot(F.col("v"), centres, scale)).select("*", "c.*").drop("c")
     rows = materialize(rows, "vector-cells")
