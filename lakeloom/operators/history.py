@@ -61,15 +61,25 @@ def rebuild_dimension(source: DataFrame, roles: DimensionRoles) -> DataFrame:
     return number_rows(members, roles.business_keys, roles.surrogate_key)
 
 
-def update_dimension(source: DataFrame, target: DataFrame, roles: DimensionRoles) -> DataFrame:
+def check_attributes(source: DataFrame, target: DataFrame) -> None:
+    unknown = [c for c in source.columns if c not in target.columns]
+    if unknown:
+        raise ValueError(f"The dimension has no columns {unknown}.")
+
+
+def update_dimension(
+    source: DataFrame,
+    target: DataFrame,
+    roles: DimensionRoles,
+    start: int | Column | None = None,
+) -> DataFrame:
     """Overwrite the attributes of known keys, keep their surrogate keys, and number new keys
-    from the present maximum.  Known and untouched members need one join, new ones another."""
+    from ``start``, by default the target's present maximum.  Known and untouched members need
+    one join, new ones another; the source's members are written once for both."""
     keys, surrogate = list(roles.business_keys), roles.surrogate_key
-    source = clean_members(source, roles).drop(surrogate)
+    check_attributes(source.drop(surrogate), target)
+    source = materialize(clean_members(source, roles).drop(surrogate), "members")
     attributes = [c for c in source.columns if c not in keys]
-    unknown = [c for c in attributes if c not in target.columns]
-    if unknown:
-        raise ValueError(f"The dimension has no columns {unknown}.")
 
     incoming = source.select(
         *map(named, keys),
@@ -86,12 +96,9 @@ def update_dimension(source: DataFrame, target: DataFrame, roles: DimensionRoles
             for f in target.schema.fields
         ]
     )
-    added = number_rows(
-        new_members(source, target, keys),
-        keys,
-        surrogate,
-        start=max_surrogate(target, surrogate).scalar(),
-    )
+    if start is None:
+        start = max_surrogate(target, surrogate).scalar()
+    added = number_rows(new_members(source, target, keys), keys, surrogate, start=start)
     added = added.select(
         *[
             (named(f.name) if f.name in added.columns else F.lit(None))
@@ -313,18 +320,51 @@ def update_history(source: DataFrame, target: DataFrame, roles: HistoryRoles) ->
     return apply_snapshot(updates, target, roles)
 
 
+def affected_keys(
+    source: DataFrame, target: DataFrame, roles: HistoryRoles, mark: Any
+) -> DataFrame:
+    """Keys whose versions the days of ``source`` change, with ``is_corrected`` for those that
+    the mark's own day changes.
+
+    A key is left alone if each day after the mark has it in the state that is current, and
+    the mark's day, if it has the key, too.  States are hashed and combined map-side, and of
+    the target only the keys and hashes of current versions are read."""
+    keys, at_mark = list(roles.primary_keys), F.lit(mark).cast("date")
+    states = _states(source.filter(named(roles.date_key).cast("date") >= at_mark), roles, unique=False)
+    day, change = named(roles.valid_from), named(roles.row_hash)
+    later = day > at_mark
+    seen = states.groupBy(*map(named, keys)).agg(
+        F.count_if(later).alias("__days"),
+        F.min(F.when(later, change)).alias("__least"),
+        F.max(F.when(later, change)).alias("__most"),
+        F.max(F.when(day == at_mark, change)).alias("__again"),
+    )
+    held = _current(target, roles).select(*map(named, keys), change.alias("__held"))
+    n = states.filter(later).select(day).distinct().agg(F.count("*")).scalar()
+    same = (F.col("__days") == n) & (
+        (n == 0) | ((F.col("__least") == F.col("__held")) & (F.col("__most") == F.col("__held")))
+    )
+    again = F.coalesce(F.col("__again") != F.col("__held"), F.col("__again").isNotNull() & F.col("__held").isNull())
+    found = held.join(seen, keys, "full")
+    gone = F.col("__days").isNull() & (n > 0)
+    changed = gone | again | (F.col("__days").isNotNull() & ~F.coalesce(same, F.lit(False)))
+    return found.withColumn("is_corrected", again).filter(changed).select(*map(named, keys), "is_corrected")
+
+
 def extend_history(
     source: DataFrame,
     target: DataFrame,
     roles: HistoryRoles,
     mark: Any,
     start: int | Column | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """The target after *all* snapshots later than ``mark``, the last date it has loaded: the
     result of applying them one by one, in a single pass over the new days.
 
     The current rows stand for the state at ``mark``.  Their versions keep their rows and
-    keys and at most get an end; the other versions are new."""
+    keys and at most get an end; the other versions are new.  Where source and target hold
+    some of the keys, ``days`` are rows of all of them: they tell which days have come."""
     at_mark, keys = F.lit(mark).cast("date"), list(roles.primary_keys)
     later = source.filter(named(roles.date_key).cast("date") > at_mark)
     fresh = _states(later, roles, unique=False)
@@ -333,8 +373,12 @@ def extend_history(
         *[at_mark.alias(c) if c == roles.valid_from else named(c) for c in target.columns]
     )
     states = carried.unionByName(fresh, allowMissingColumns=True)
+    if days is not None:
+        days = days.filter(named(roles.date_key).cast("date") > at_mark)
     versions = _versions(
-        states.drop(roles.valid_to, roles.is_current), _days(later, roles, at_mark), roles
+        states.drop(roles.valid_to, roles.is_current),
+        _days(later if days is None else days, roles, at_mark),
+        roles,
     )
 
     is_carried = named(roles.valid_from) == at_mark

@@ -16,8 +16,23 @@ from lakeloom.operators.marks import read_mark
 from lakeloom.operators.merge import in_partitions, replace_batches, upsert
 from lakeloom.roles import SilverRoles, is_true
 from lakeloom.shared import materialize, scratch_tables
-from lakeloom.sources.files import read_stamped, table_exists
-from lakeloom.sources.sinks import append_strict, overwrite, overwrite_partitions
+from lakeloom.sources.buckets import (
+    BUCKET,
+    bucket_count,
+    buckets_of,
+    folder_bytes,
+    in_buckets,
+    labels,
+    with_bucket,
+)
+from lakeloom.sources.files import laid_out, read_stamped, table_exists
+from lakeloom.sources.sinks import (
+    append_strict,
+    overwrite,
+    overwrite_buckets,
+    overwrite_partitions,
+    replace_buckets,
+)
 
 
 def silver_transform(df: DataFrame, roles: SilverRoles, strict: bool = False) -> DataFrame:
@@ -39,6 +54,10 @@ def default_write_method(roles: SilverRoles) -> str:
     return "pk_merge" if roles.primary_keys else "append"
 
 
+def _merge_keys(roles: SilverRoles, write_method: str) -> tuple[str, ...]:
+    return roles.primary_keys if write_method == "pk_merge" else roles.batch_keys
+
+
 def write_silver(
     df: DataFrame,
     target: str,
@@ -46,9 +65,12 @@ def write_silver(
     write_method: str,
     partitions_immutable: bool = False,
     fmt: str = "parquet",
+    buckets: int | None = None,
 ) -> None:
-    """Write by method.  Merges rewrite the table, or, where a key never leaves its partition,
-    just the partitions that the updates touch."""
+    """Write by method.  Merges rewrite the key buckets that the updates touch, or, where a key
+    never leaves its partition, the partitions that they touch.  A table without such buckets
+    gets them by its first merge, ``buckets`` of them or as many as its size suggests, and one
+    that has outgrown its buckets gets twice as many."""
     if write_method not in WRITE_METHODS:
         raise ValueError(f"Write method {write_method!r} is none of {WRITE_METHODS}.")
     if write_method == "overwrite":
@@ -56,29 +78,41 @@ def write_silver(
     if write_method == "append":
         return append_strict(df, target, roles.partition_by, fmt)
 
+    keys = _merge_keys(roles, write_method)
     if write_method == "pk_merge":
-        keys = roles.primary_keys
         # silver_transform has left one row per primary key.
         merge = partial(upsert, keys=keys, unique=True)
     else:
-        keys = roles.batch_keys
         merge = partial(replace_batches, batch_keys=keys)
     if not keys:
         raise ValueError(f"Write method {write_method!r} needs key columns.")
 
-    with scratch_tables(df.sparkSession):
+    spark = df.sparkSession
+    with scratch_tables(spark):
         # The updates are used up to three times; they are as large as one increment.
-        df = materialize(drop_null_keys(df, keys), "updates")
-        held = df.sparkSession.read.format(fmt).load(target)
-        # Folder names lose the type of a partition column; the declared one is restored.
-        held = held.select(
-            *[named(f.name).cast(f.dataType).alias(f.name) for f in df.schema.fields]
-        )
-        if not (roles.partition_by and partitions_immutable):
-            overwrite(merge(held, df), target, roles.partition_by, fmt, reads_target=True)
-        else:
-            merged = merge(in_partitions(held, df, roles.partition_by), df)
-            overwrite_partitions(merged, target, roles.partition_by, fmt)
+        df = drop_null_keys(df, keys)
+        n = buckets_of(spark, target, df, keys)
+        df = materialize(df if n is None else with_bucket(df, keys, n), "updates")
+
+        def held(rows: DataFrame) -> DataFrame:
+            # Folder names lose the type of a partition column; the declared one is restored.
+            wanted = [f for f in df.schema.fields if f.name != BUCKET]
+            return rows.select(*[named(f.name).cast(f.dataType).alias(f.name) for f in wanted])
+
+        whole = laid_out(spark, target, fmt)
+        if roles.partition_by and partitions_immutable:
+            merged = merge(in_partitions(held(whole), df, roles.partition_by), df)
+            return overwrite_partitions(merged, target, roles.partition_by, fmt)
+        size = folder_bytes(spark, target)
+        if n is None or bucket_count(size) > max(n, buckets or 0):
+            merged = merge(held(whole), df.drop(BUCKET))
+            n = buckets or bucket_count(size)
+            return overwrite_buckets(
+                merged, target, keys, n, roles.partition_by, fmt, reads_target=True
+            )
+        if touched := labels(df):
+            merged = merge(held(in_buckets(whole, touched)), df.drop(BUCKET))
+            replace_buckets(merged, target, keys, n, touched, roles.partition_by, fmt)
 
 
 def update_silver(
@@ -94,20 +128,29 @@ def update_silver(
     strict: bool = False,
     fmt: str = "parquet",
     inclusive: bool | None = None,
+    buckets: int | None = None,
 ) -> Any:
     """Update a silver table from the bronze rows at or after ``mark``; returns the new mark.
     A missing target, a missing mark or ``full_refresh`` overwrite the table from all rows.
     Without a write method the keys decide.
 
     Appends take only stamps after the mark, for the mark's own rows are there already; where
-    a stamp is complete once loaded, ``inclusive=False`` does so for the other methods too."""
+    a stamp is complete once loaded, ``inclusive=False`` does so for the other methods too.
+    A table that merges will update is laid out in key buckets from the start."""
     write_method = write_method or default_write_method(roles)
+    merged = write_method in ("pk_merge", "bk_merge")
+    keys = _merge_keys(roles, write_method) if merged else ()
+    immutable = bool(roles.partition_by) and is_true(partitions_immutable)
     if is_true(full_refresh) or mark is None or not table_exists(spark, target):
         mark, write_method = None, "overwrite"
     if inclusive is None:
         inclusive = write_method != "append"
     bronze = read_stamped(spark, source, partition, mark, fmt, inclusive=inclusive, text=True)
     rows = silver_transform(bronze, roles, strict)
-    write_silver(rows, target, roles, write_method, is_true(partitions_immutable), fmt)
+    if write_method == "overwrite" and keys and not immutable:
+        n = buckets or bucket_count(folder_bytes(spark, source))
+        overwrite_buckets(rows, target, keys, n, roles.partition_by, fmt)
+    else:
+        write_silver(rows, target, roles, write_method, immutable, fmt, buckets)
     newest = read_mark(bronze, partition)
     return mark if newest is None else newest

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+from collections.abc import Sequence
 from typing import Any, NamedTuple
 from urllib.parse import unquote
 
@@ -13,12 +14,13 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lakeloom.functions.stamps import stamp_key
 from lakeloom.operators.filters import since
 from lakeloom.shared import hadoop_path
+from lakeloom.sources.buckets import BUCKET
+from lakeloom.sources.records import recorded_schema
 
 
 class StampFolder(NamedTuple):
     stamp: str
     path: str
-    changed: int  # when the folder was last written to
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
@@ -40,7 +42,7 @@ def stamp_folders(spark: SparkSession, path: str, partition: str) -> list[StampF
         if status.isDirectory() and name.startswith(prefix):
             # Folder names have special characters escaped; the stamp has not.
             stamp = unquote(name.removeprefix(prefix))
-            found.append(StampFolder(stamp, f"{path}/{name}", status.getModificationTime()))
+            found.append(StampFolder(stamp, f"{path}/{name}"))
     return sorted(found, key=lambda f: (stamp_key(f.stamp), f.stamp))
 
 
@@ -122,6 +124,20 @@ def read_parquet_files(
     return _scan(spark, path, "parquet", options, schema, partition, mark, inclusive)
 
 
+def file_schema(
+    spark: SparkSession, path: str, partition_by: Sequence[str] = (), fmt: str = "parquet"
+) -> StructType:
+    """All columns that a table's rows have or had: the schema of its record, or, for tables
+    that have none, that of all its files, with its partition columns last and as text."""
+    schema = recorded_schema(spark, path)
+    if schema is None:
+        schema = spark.read.format(fmt).option("mergeSchema", True).load(path).schema
+        for f in schema.fields:
+            if f.name in partition_by:
+                f.dataType = StringType()
+    return schema
+
+
 def read_table(
     spark: SparkSession,
     path: str,
@@ -130,30 +146,23 @@ def read_table(
     fmt: str = "parquet",
     evolved: bool = False,
 ) -> DataFrame:
-    """A table, optionally from a high-water mark on.  ``evolved`` tables were appended to
-    with new columns, so their files' schemas are merged."""
-    options = {"mergeSchema": True} if evolved else {}
-    return since(spark.read.format(fmt).options(**options).load(path), column, mark)
+    """A table, optionally from a high-water mark on, without its layout column.  Its record
+    tells the schema.  For ``evolved`` tables, which were appended to with new columns, but have
+    no record, the schemas of all files are merged."""
+    return since(laid_out(spark, path, fmt, evolved).drop(BUCKET), column, mark)
 
 
-def stamped_schema(
-    spark: SparkSession,
-    path: str,
-    partition: str,
-    fmt: str = "parquet",
-    folders: list[StampFolder] | None = None,
-) -> StructType | None:
-    """The schema of a table's newest stamp, and of the stamps written after it, or None for a
-    table without stamp folders.  The sinks give what they write every column the table ever
-    had, so the files last written know all of them."""
-    if fmt != "parquet":
-        return None
-    folders = stamp_folders(spark, path, partition) if folders is None else folders
-    if not folders:
-        return None
-    last = [f.path for f in folders if f.changed >= folders[-1].changed]
-    reader = spark.read.format(fmt).options(basePath=path, mergeSchema=True)
-    return reader.load(last).schema
+def laid_out(
+    spark: SparkSession, path: str, fmt: str = "parquet", evolved: bool = False
+) -> DataFrame:
+    """A table with its layout column."""
+    reader = spark.read.format(fmt)
+    schema = None if fmt == "delta" else recorded_schema(spark, path)
+    if schema is not None:
+        reader = reader.schema(schema)
+    elif evolved:
+        reader = reader.option("mergeSchema", True)
+    return reader.load(path)
 
 
 def read_stamped(
@@ -166,14 +175,16 @@ def read_stamped(
     inclusive: bool = True,
     text: bool = False,
 ) -> DataFrame:
-    """A table from a mark on (or only after it), by stamp folders where it has them: few
-    folders tell the schema, and only those from the mark on are listed and read.  Merging the
-    schemas of all files, as for other ``evolved`` tables, would open the whole table for every
-    increment.  ``text`` says that the stamp is an extraction stamp, not a date or a number."""
-    folders = stamp_folders(spark, path, partition) if partition else []
-    schema = stamped_schema(spark, path, partition, fmt, folders) if folders else None
-    if schema is None:
+    """A table from a mark on (or only after it), by stamp folders where it has them: its
+    record tells the schema, and only folders from the mark on are listed and read.  Where a
+    table has no record the schemas of all its files are merged.  ``text`` says that the stamp
+    is an extraction stamp, not a date or a number."""
+    folders = stamp_folders(spark, path, partition) if partition and fmt == "parquet" else []
+    if not folders:
         return since(read_table(spark, path, fmt=fmt, evolved=evolved), partition, mark, inclusive)
+    schema = recorded_schema(spark, path)
+    if schema is None:
+        schema = spark.read.format(fmt).option("mergeSchema", True).load(path).schema
     if text:
         schema = _text_stamp(schema, partition)
     reader = spark.read.format(fmt).option("basePath", path).schema(schema)

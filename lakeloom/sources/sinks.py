@@ -18,7 +18,9 @@ from pyspark.sql.types import BooleanType, DataType, NumericType
 from lakeloom.functions import named
 from lakeloom.operators.filters import since
 from lakeloom.shared import materialize, scratch_tables
-from lakeloom.sources.files import read_table, stamped_schema, table_exists
+from lakeloom.sources import buckets
+from lakeloom.sources.files import file_schema, read_table, table_exists
+from lakeloom.sources.records import merged_schema, write_record
 
 
 def _write(
@@ -55,6 +57,48 @@ def overwrite(
             df, path, "overwrite", partition_by, fmt, rebalance,
             overwriteSchema=True, partitionOverwriteMode="static",
         )
+    _record_schema(df, path, fmt)
+
+
+def _record_schema(df: DataFrame, path: str, fmt: str) -> None:
+    if fmt != "delta":  # such tables keep a schema of their own
+        write_record(df.sparkSession, path, schema=df.schema.jsonValue())
+
+
+def overwrite_buckets(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    n: int,
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
+    reads_target: bool = False,
+) -> None:
+    """Replace a table by one laid out in ``n`` buckets of its keys, outside its partitions."""
+    laid = buckets.with_bucket(df, keys, n)
+    overwrite(laid, path, [buckets.BUCKET, *partition_by], fmt, reads_target)
+    write_record(df.sparkSession, path, buckets=n, bucket_keys=buckets.key_types(df, keys))
+
+
+def replace_buckets(
+    df: DataFrame,
+    path: str,
+    keys: Sequence[str],
+    n: int,
+    chosen: Sequence[str],
+    partition_by: Sequence[str] = (),
+    fmt: str = "parquet",
+) -> None:
+    """Replace the ``chosen`` buckets by the rows of ``df``, all of whose keys lie in them; the
+    plan may read them.  Partitions of a bucket that have no row any more are removed last: a
+    change that fails before is mended by running it again."""
+    spark = df.sparkSession
+    pattern = "|".join(re.escape(f"{buckets.BUCKET}={label}") for label in chosen)
+    before = buckets.leaf_files(spark, path, pattern)
+    overwrite_partitions(
+        buckets.with_bucket(df, keys, n), path, [buckets.BUCKET, *partition_by], fmt
+    )
+    buckets.remove_unchanged(spark, before, pattern, path)
 
 
 def overwrite_partitions(
@@ -100,17 +144,28 @@ def append_strict(
 
 
 def _complete(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str) -> DataFrame:
-    """The rows in the table's column order, with NULL for columns they no longer have: the
-    newest files of a table then always know all of its columns."""
+    """The rows with all of the table's columns, in its order and in types that hold both, with
+    NULL for columns they no longer have.  The table's record gets the merged schema before the
+    rows are written: it then knows all columns whatever fails."""
     spark = df.sparkSession
-    if not table_exists(spark, path):
+    if fmt == "delta":
         return df
-    held = stamped_schema(spark, path, partition_by[0], fmt) if len(partition_by) == 1 else None
-    held = held or read_table(spark, path, fmt=fmt, evolved=True).schema
-    vanished = {
-        f.name: F.lit(None).cast(f.dataType) for f in held.fields if f.name not in df.columns
-    }
-    return align_columns(df.withColumns(vanished), held.names)
+    schema = df.schema
+    if table_exists(spark, path):
+        held = file_schema(spark, path, partition_by, fmt)
+        # A partition column is text in folder names, of the type that new rows give it.
+        for f in held.fields:
+            if f.name in partition_by and f.name in schema.names:
+                f.dataType = schema[f.name].dataType
+        schema = merged_schema(held, schema)
+        columns = [
+            (named(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+            for f in schema.fields
+        ]
+        kept = [c for c in schema.names if c in df.columns or c not in partition_by]
+        df = df.select(*columns).select(*map(named, kept))
+    write_record(spark, path, schema=schema.jsonValue())
+    return df
 
 
 def append_evolve(

@@ -188,7 +188,7 @@ def test_history_table_runs_are_repeatable_and_touch_two_partitions(spark, path)
         assert got == expected and mark == dt.date(2024, 1, 3)
         assert len({r.sk for r in found}) == 6
         if run == 0:  # what was closed before the mark's day is not touched again
-            closed = list(Path(path("h"), "vt=2024-01-02").glob("*.parquet"))
+            closed = list(Path(path("h"), "vt=2024-01-02").rglob("*.parquet"))
             before = [f.stat().st_mtime_ns for f in closed]
     assert closed and [f.stat().st_mtime_ns for f in closed] == before
     # A corrected snapshot of the same day adds to the versions closed on that day.
