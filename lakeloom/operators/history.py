@@ -1,7 +1,8 @@
 """Type-1 and type-2 dimensions.
 
 Several source rows for one key (and date) are reduced to one first, so every window over a
-primary key holds at most one row per date.
+primary key holds at most one row per date: a key with a third of all rows is as many rows here
+as there are days.  Changes along other columns are counted by ``segments.change_groups``.
 """
 
 from __future__ import annotations
@@ -113,18 +114,6 @@ def update_dimension(
 # --- type 2 ---------------------------------------------------------------------------
 
 
-def change_groups(df: DataFrame, keys: Sequence[str], order: str, value: str) -> DataFrame:
-    """Add ``group_id``: how often ``value`` has changed up to a row of its key."""
-    ordered = Window.partitionBy(*map(named, keys)).orderBy(named(order))
-    changed = F.when(F.lag(named(value)).over(ordered) != named(value), 1).otherwise(0)
-    running = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return (
-        df.withColumn("__changed", changed)
-        .withColumn("group_id", F.sum("__changed").over(running))
-        .drop("__changed")
-    )
-
-
 def _states(source: DataFrame, roles: HistoryRoles, unique: bool) -> DataFrame:
     """Rows with a key and a date, hashed, one per key and day."""
     states = drop_null_keys(source, [*roles.primary_keys, roles.date_key])

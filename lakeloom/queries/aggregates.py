@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeloom.functions import hashing
-from lakeloom.operators import aggregates, dedup, filters, history, keys, marks
+from lakeloom.operators import aggregates, dedup, filters, history, keys, marks, segments
 from lakeloom.queries import register
 from lakeloom.queries.inputs import (
     CUSTOMERS_SQL,
@@ -128,7 +128,7 @@ SELECT user_id, event_type, CAST(dt AS VARCHAR) AS dt,
 FROM flagged""")
 def change_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     daily = daily_state(spark, sf_dir)
-    return portable(history.change_groups(daily, ["user_id"], "dt", "event_type"))
+    return portable(segments.change_groups(daily, ["user_id"], "dt", "event_type"))
 
 
 @register("""

@@ -48,12 +48,20 @@ SELECT o_orderkey, CASE
   ELSE 'Response xml is unexpected.' END AS response_error
 FROM orders""")
 def response_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A response per order: its priority and status decide what kind."""
+    """A response per order: its priority and status decide what kind.  Those of odd orders
+    have character sections, numeric references, comments and prefixes."""
     case = F.left("o_orderpriority", F.lit(1))
     partly = F.col("o_orderstatus") == "P"
+    odd = F.col("o_orderkey") % 2 == 1
     error = ENVELOPE.format("<status>success</status>", "<errorno>{}</errorno>")
+    noted = ENVELOPE.format(
+        "<status>{}</status>",
+        "<x:errorno xmlns:x='urn:x'/><note><![CDATA[<errorno>1</errorno>]]></note><!-- <errorno/> -->",
+    )
     body = (
-        F.when(case == "1", error.format("XL03000006"))
+        F.when(case == "1", F.when(odd, error.format("XL0300000&#54;")).otherwise(error.format("XL03000006")))
+        .when((case == "4") & odd & (F.col("o_orderstatus") == "F"), noted.format("fail<![CDATA[ure]]>"))
+        .when((case == "4") & odd, noted.format("success"))
         .when(case == "2", F.format_string(error.format("PL%d"), "o_custkey"))
         .when(case == "3", F.format_string(ENVELOPE.format("<id>%d</id>", ""), "o_orderkey"))
         .when(
@@ -80,6 +88,7 @@ def response_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("""
 SELECT p_partkey, 'ok' AS body_status, p_brand AS field_id FROM part
 UNION ALL SELECT p_partkey, 'ok', p_type FROM part
+UNION ALL SELECT p_partkey, 'ok', p_brand || '&' || p_type FROM part
 UNION ALL SELECT p_partkey, 'empty', NULL FROM part
 UNION ALL SELECT p_partkey, 'unreadable', NULL FROM part
 UNION ALL SELECT p_partkey, 'unreadable', NULL FROM part""")
@@ -95,6 +104,11 @@ def response_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.explode(
             F.array(
                 F.format_string(text, "p_brand", "p_type"),
+                F.format_string(
+                    "<r><![CDATA[<Field><ID>x</ID></Field>]]><Field><ID>%s&#38;<![CDATA[%s]]><x/></ID></Field></r>",
+                    "p_brand",
+                    "p_type",
+                ),
                 F.lit("<response/>"),
                 F.concat(F.lit("<response/>"), F.col("p_brand")),
                 F.lit(None).cast("string"),

@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 from xml.etree import ElementTree
 
 import pytest
@@ -198,12 +199,81 @@ def test_paths(spark):
     (200, "text/xml", "<r/>", "Response missing status."),
     (200, "text/xml", "<r><x><status>failure</status></x></r>", "Response failed status."),
     (200, "text/xml", "<r><status>success</status><status>failure</status></r>", None),
+    (200, "text/xml", "<r><status><![CDATA[failure]]></status></r>", "Response failed status."),
+    (200, "text/xml", "<r><status>fail<![CDATA[ure]]></status></r>", "Response failed status."),
+    (200, "text/xml", "<r><status>fail<!-- <status/> -->ure</status></r>", "Response failed status."),
+    (200, "text/xml", "<r><status>failure<a/>not</status></r>", "Response failed status."),
+    (200, "text/xml", "<r><errorno>XL0300000&#54;</errorno></r>", "Session expired."),
+    (200, "text/xml", "<r><note><![CDATA[<errorno>1</errorno>]]></note><status>ok</status></r>", None),
+    (200, "text/xml", "<r><!-- <errorno>1</errorno> --><status>ok</status></r>", None),
+    (200, "text/xml", "<r xmlns:x='u'><x:errorno>1</x:errorno><status>ok</status></r>", None),
+    (200, "text/xml", "<r xmlns='u'><errorno>1</errorno></r>", "Response missing status."),
+    (200, "text/xml", "<r><x:errorno>1</x:errorno><status>ok</status></r>", None),
+    (200, "text/xml", "<?xml version='1.0'?><!DOCTYPE r><r><status>ok</status></r>", None),
+    (200, "text/xml", " <?xml version='1.0'?><r><status>ok</status></r>", "Response xml is unexpected."),
+    (200, "text/xml", "<r><!-- a -- b --><status>ok</status></r>", "Response xml is unexpected."),
+    (200, "text/xml", "<r><status>success</status></r><errorno/>", "Response xml is unexpected."),
+    (None, "text/xml", "<r><status>ok</status></r>", "Status code is not 200."),
 ])
 def test_response_status(spark, code, kind, body, reason):
     df = spark.createDataFrame([(code, kind, body)], "c int, k string, b string")
     assert responses.response_status(df, "c", "k", "b").first().response_error == reason
 
 
+def python_status(code, kind, body):
+    """The rules, with Python's parser."""
+    if code != 200:
+        return "Status code is not 200."
+    if "xml" not in (kind or "").lower():
+        return None
+    try:
+        root = ElementTree.fromstring(body or "")
+    except ElementTree.ParseError:
+        return "Response xml is unexpected."
+    error, status = root.find(".//errorno"), root.find(".//status")
+    if error is not None:
+        return "Session expired." if error.text == "XL03000006" else "Response has an error."
+    if status is None:
+        return "Response missing status."
+    return "Response failed status." if status.text == "failure" else None
+
+
+def test_response_status_is_that_of_a_parser(spark):
+    """Texts put together from parts that matter."""
+    rng = random.Random(7)
+    parts = ["<status>", "</status>", "<errorno>", "</errorno>", "<errorno/>", "<a>", "</a>", "failure", "XL03000006",
+             "fail", "ure", "<![CDATA[failure]]>", "<![CDATA[<a>]]>", "<!-- c -->", "<!-- <errorno/> -->", "&#54;", "&lt;",
+             "XL0300000", " ", "<status>failure</status>", "<status>ok</status>", "<a xmlns='u'>", "<x:a xmlns:x='u'/>"]
+    texts = {f"<r>{''.join(rng.choices(parts, k=rng.randint(0, 5)))}</r>" for _ in range(1500)}
+    df = spark.createDataFrame([(200, "xml", t) for t in texts], "c int, k string, b string")
+    for r in responses.response_status(df, "c", "k", "b").collect():
+        assert r.response_error == python_status(r.c, r.k, r.b), r.b
+
+
+def test_field_identifiers_in_odd_markup(spark):
+    bodies = [
+        "<r><Field><ID><![CDATA[A]]></ID><ID>second</ID></Field></r>", "<r><Field><ID>A<!-- c -->B</ID></Field></r>",
+        "<r><Field><ID>A<![CDATA[B]]></ID></Field></r>", "<r><Field><ID>A&amp;&#66;<x/>C</ID></Field></r>",
+        "<r><Field><x><ID>deep</ID></x></Field></r>", "<r xmlns='u'><Field><ID>A</ID></Field></r>",
+        "<r><![CDATA[<Field><ID>A</ID></Field>]]></r>", "<r><Field><ID/></Field></r>", "<r/><r/>", "<r>", "<Field><ID>1</ID></Field>",
+        "<r><Field><ID>A</ID></Field></r><Field><ID>B</ID></Field>",
+    ]
+    df = spark.createDataFrame([(b,) for b in bodies], ["b"])
+    got = {}
+    for r in responses.response_fields(df, "b").collect():
+        got.setdefault(r.b, []).append((r.body_status, r.field_id))
+    for body in bodies:
+        try:
+            found = [f.find("ID") for f in ElementTree.fromstring(body).findall(".//Field")]
+        except ElementTree.ParseError:
+            assert got[body] == [("unreadable", None)]
+            continue
+        if body.startswith("<Field"):  # the top element counts too
+            found = [ElementTree.fromstring(body).find("ID")]
+        ids = [("ok", i.text) for i in found if i is not None and i.text]
+        assert got[body] == (ids or [("empty", None)]), body
+
+
 def test_response_fields_and_items(spark):
     df = spark.createDataFrame(
         [("<r><Field><ID>A</ID></Field><x><Field><ID>B</ID></Field><Field/></x></r>",), ("bad",)],

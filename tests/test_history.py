@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from lakeloom.operators import history
+from lakeloom.operators import history, segments
 from lakeloom.roles import DimensionRoles, HistoryRoles
 
 ROLES = HistoryRoles(("id",), ("name", "note"), "day", "vf", "vt", "cur", "hash", "sk")
@@ -103,7 +103,7 @@ def test_single_steps_add_up_to_the_increment(spark):
 
 def test_change_groups(spark):
     df = state(spark, (1, "a", 1), (1, "a", 2), (1, "b", 3), (1, "a", 4), (2, "a", 1))
-    got = history.change_groups(df, ["id"], "day", "name")
+    got = segments.change_groups(df, ["id"], "day", "name")
     assert [r.group_id for r in got.orderBy("id", "day").collect()] == [0, 0, 1, 2, 0]
 
 
