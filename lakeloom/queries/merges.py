@@ -157,10 +157,10 @@ def passthrough_view(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register(f"WITH {LINES_SQL} SELECT {LINES_OUT} FROM loads")
 def compact_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table that many small appends have left in small files, rewritten."""
-    path, target = scratch_path(spark, "small-files"), scratch_path(spark, "compacted")
+    """A table that many small appends have left in small files, put together in place."""
+    path = scratch_path(spark, "small-files")
     for status in ("F", "O"):
         load = lines(spark, sf_dir, status).repartition(16)
         load.write.mode("append").partitionBy("l_linestatus").parquet(path)
-    sinks.compact(spark, path, target, ["l_linestatus"])
-    return portable(read_table(spark, target).select(*LINE_COLUMNS))
+    sinks.compact(spark, path, path)
+    return portable(read_table(spark, path).select(*LINE_COLUMNS))

@@ -19,6 +19,7 @@ from lakeloom.functions import named
 from lakeloom.operators.filters import since
 from lakeloom.shared import materialize, scratch_tables
 from lakeloom.sources import buckets
+from lakeloom.sources.compaction import compact_in_place
 from lakeloom.sources.files import file_schema, read_table, table_exists
 from lakeloom.sources.records import merged_schema, write_record
 
@@ -245,9 +246,13 @@ def compact(
     partition_by: Sequence[str] = (),
     fmt: str = "parquet",
 ) -> None:
-    """Rewrite a table as fewer, larger files.  Sizes follow the advisory partition size."""
+    """Put small files together: in place, where only fragmented partitions are rewritten, or
+    as a copy with other partitions, whose file sizes follow the advisory partition size."""
+    if target == path:
+        compact_in_place(spark, path, fmt)
+        return
     df = read_table(spark, path, fmt=fmt, evolved=True)
     if not partition_by:
         df = df.hint("rebalance")
-    overwrite(df, target, partition_by, fmt, reads_target=target == path)
+    overwrite(df, target, partition_by, fmt)
     spark.catalog.refreshByPath(target)

@@ -8,7 +8,7 @@ import pytest
 from lakeloom.operators import history, keys
 from lakeloom.plans import gold, silver
 from lakeloom.roles import DimensionRoles, HistoryRoles, SilverRoles
-from lakeloom.sources import buckets, files, records, sinks
+from lakeloom.sources import buckets, compaction, files, records, sinks
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -224,3 +224,38 @@ def test_wider_types():
     for a, b in (("string", "int"), ("bigint", "double"), ("decimal(38,0)", "decimal(38,10)"), ("date", "timestamp")):
         with pytest.raises(TypeError):
             merged(a, b)
+
+
+def test_compaction_leaves_whole_partitions_alone(spark, path):
+    df = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), F.lit("whole").alias("p"))
+    df.coalesce(1).write.partitionBy("p").parquet(path("t"))
+    pieces = spark.range(90).select("id", F.lit("x").alias("v"), F.when(F.col("id") % 3 > 0, F.lit("cut")).alias("p"))
+    pieces.repartition(9).write.mode("append").partitionBy("p").parquet(path("t"))
+    records.write_record(spark, path("t"), highest=7)
+    before = data_files(path("t"))
+    assert compaction.compact_in_place(spark, path("t"), file_bytes=8000) == 18
+    after = data_files(path("t"))
+    assert after["p=whole"] == before["p=whole"]
+    null = "p=__HIVE_DEFAULT_PARTITION__"
+    assert len(after["p=cut"]) < len(before["p=cut"]) and len(after[null]) < len(before[null])
+    table = spark.read.parquet(path("t"))
+    assert table.count() == 4090 and table.where("p is null").count() == 30
+    assert compaction.compact_in_place(spark, path("t"), file_bytes=100) == 0
+    assert data_files(path("t")) == after and records.read_record(spark, path("t")) == {"highest": 7}
+
+
+def test_compaction_keeps_layout_and_record(spark, path):
+    role = roles("is_primary_key", ["p"])
+    bronze(spark, path("b"), "1", [(k, "old", "x") for k in range(40)])
+    mark = silver.update_silver(spark, path("b"), path("s"), role, "pk_merge", buckets=2)
+    extra = spark.createDataFrame([(1000 + k, "app", "x") for k in range(20)], "k int, v string, p string")
+    laid = buckets.with_bucket(extra, ["k"], 2).repartition(5)
+    laid.write.mode("append").partitionBy(buckets.BUCKET, "p").parquet(path("s"))
+    record = records.read_record(spark, path("s"))
+    sinks.compact(spark, path("s"), path("s"))
+    assert records.read_record(spark, path("s")) == record
+    assert all(len(f) == 1 for f in data_files(path("s")).values())
+    bronze(spark, path("b"), "2", [(3, "new", "x")])
+    silver.update_silver(spark, path("b"), path("s"), role, "pk_merge", mark=mark, inclusive=False)
+    table = files.read_table(spark, path("s"))
+    assert table.count() == 60 and rows(table.where("k = 3").select("v")) == [("new",)]
