@@ -54,6 +54,7 @@ def linked(
     possible: Callable[[Column, Column], Column],
     central: str = "0",
     rounds: int = ROUNDS,
+    buckets: DataFrame | None = None,
 ) -> DataFrame:
     """(id, root) of the ids that are linked to others.
 
@@ -62,8 +63,10 @@ def linked(
     keeps the true links of pairs (a, b).  The result is what verifying all candidates would
     give, but pairs inside a component need not be looked at.  First, in a few rounds, the
     members of a bucket are held against one of them, the first by the SQL expression
-    ``central`` of its info: this joins groups of copies at a cost in proportion to their
-    size.  Then every possible pair that still lies in two components is verified.
+    ``central`` of its info, in later rounds any one of the largest component: this joins
+    groups of copies at a cost in proportion to their size.  Then every possible pair that still
+    lies in two components is verified; with ``buckets`` (id, buckets: all buckets of the id)
+    it is made in one bucket, the least that the two share, and not in each.
     """
     links, known = None, None
     members = gathered(members)
@@ -81,7 +84,8 @@ def linked(
             break
         placed = gathered(placed)
         # The most central id of each component in a bucket; the largest component is the main.
-        first = F.struct(rank, F.xxhash64(F.lit(turn), "id").alias("h"), "id", "info")
+        place = rank if turn == 0 else F.lit(0).alias("rank")
+        first = F.struct(place, F.xxhash64(F.lit(turn), "id").alias("h"), "id", "info")
         parts = placed.groupBy("bucket", "root").agg(F.count("*").alias("n"), F.min(first).alias("first"))
         parts = parts.withColumn("order", F.struct("n", F.negative("first.rank"), "root", "first"))
         main = parts.groupBy("bucket").agg(F.max("order").alias("main"))
@@ -94,6 +98,8 @@ def linked(
             )
             free = F.col("root") != F.col("other_root")
         else:
+            if buckets is not None:
+                placed = materialize(placed.join(buckets, "id"), "placed")
             few = placed.join(main.select("bucket", F.col("main.root").alias("main")), "bucket")
             others = few.where("root <> main").select(
                 "bucket",
@@ -101,8 +107,11 @@ def linked(
                 F.col("id").alias("other"),
                 F.col("info").alias("other_info"),
                 F.col("root").alias("other_root"),
+                *([F.col("buckets").alias("other_buckets")] if buckets is not None else []),
             )
             free = F.expr("root <> other_root and (root = main or id < other)")
+            if buckets is not None:
+                free &= F.array_min(F.array_intersect("buckets", "other_buckets")) == F.col("bucket")
         free &= possible(F.col("info"), F.col("other_info"))
         pairs = placed.join(others, "bucket").where(free)
         pairs = pairs.select(F.least("id", "other").alias("a"), F.greatest("id", "other").alias("b"))

@@ -208,7 +208,8 @@ def classes(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", simi
         either = F.size("xa") + F.size("xb") - F.col("both")
         return held.where(F.col("both") >= either * similarity)
 
-    known = graph.linked(members, verify, possible, "info.n - info.shared")
+    all_bands = heads.select("id", F.col("bands").alias("buckets"))
+    known = graph.linked(members, verify, possible, "info.n - info.shared", buckets=all_bands)
     roots = heads.select("id", "same").join(small(known), "id").select("same", "root")
     found = rows.join(small(materialize(roots, "near-roots")), "same", "left")
     found = found.withColumn("root", F.col("root").cast("string"))
