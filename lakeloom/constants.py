@@ -40,3 +40,27 @@ BAD_XML_TEXT = "Response xml is unexpected."
 
 # The table of jobs.
 JOBS_SCHEMA = "job_id int, job_name string, task_sql string"
+
+# Kinds of tasks, which are also the names of their tables, and the columns of their marks.
+JSON_TASK = "task_json_to_delta"
+PARQUET_TASK = "task_parquet_to_delta"
+SILVER_TASK = "task_update_silver"
+HISTORY_TASK = "task_create_scd2"
+IDENTITY_TASK = "task_identity_transfer"
+MARKS = {
+    "task_json_to_delta": "min_partition",
+    "task_parquet_to_delta": "min_partition",
+    "task_update_silver": "min_partition",
+    "task_create_scd2": "min_date_key",
+}
+
+# The task tables that say which dataset a task writes.
+TARGET_TABLES = (
+    "task_pokemon_api",
+    "task_json_to_delta",
+    "task_parquet_to_delta",
+    "task_update_silver",
+    "task_create_scd2",
+    "task_identity_transfer",
+    "task_to_warehouse",
+)

@@ -33,4 +33,5 @@ def load_all() -> None:
         nested,
         projections,
         responses,
+        tasks,
     )

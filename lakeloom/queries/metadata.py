@@ -53,8 +53,8 @@ tasks AS (
 chosen AS (SELECT * FROM tasks WHERE role <> 'system'),
 edges AS (
   SELECT c.task_id, p.task_id AS parent_id
-  FROM chosen AS c CROSS JOIN (VALUES (1), (2)) AS back(n)
-  LEFT JOIN chosen AS p ON p.conv_id = c.conv_id AND p.turn = c.turn - n)"""
+  FROM tasks AS c CROSS JOIN (VALUES (1), (2)) AS back(n)
+  LEFT JOIN tasks AS p ON p.conv_id = c.conv_id AND p.turn = c.turn - n)"""
 
 
 def control_jobs(spark: SparkSession) -> DataFrame:
@@ -62,26 +62,27 @@ def control_jobs(spark: SparkSession) -> DataFrame:
         [
             (1, "active_tasks", "select task_id from control_tasks where is_active"),
             (2, "user_tasks", "select task_id from control_tasks where stage_name = 'user'"),
+            (3, "all_tasks", "select task_id from control_tasks"),
         ],
         JOBS_SCHEMA,
     )
 
 
-def chosen_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+def chosen_tasks(spark: SparkSession, sf_dir: str, job_id: int) -> DataFrame:
     tables = {"control_tasks": control_tasks(spark, sf_dir)}
-    return metadata.job_tasks(control_jobs(spark), 1, tables)
+    return metadata.job_tasks(control_jobs(spark), job_id, tables)
 
 
 @register(f"WITH {TASKS_SQL} SELECT task_id FROM chosen")
 def job_task_set(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chosen_tasks(spark, sf_dir)
+    return chosen_tasks(spark, sf_dir, 1)
 
 
 @register(f"WITH {TASKS_SQL} SELECT task_id, parent_id FROM edges")
 def lineage_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     targets = metadata.task_targets([control_tasks(spark, sf_dir)])
     return lineage.lineage_edges(
-        chosen_tasks(spark, sf_dir), targets, dataset_lineage(spark, sf_dir)
+        chosen_tasks(spark, sf_dir, 3), targets, dataset_lineage(spark, sf_dir)
     )
 
 
@@ -96,7 +97,7 @@ FROM levels GROUP BY task_id""")
 def lineage_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
     tasks = control_tasks(spark, sf_dir)
     levels = control.job_levels(
-        control_jobs(spark), 1, {"control_tasks": tasks}, [tasks], dataset_lineage(spark, sf_dir)
+        control_jobs(spark), 3, {"control_tasks": tasks}, [tasks], dataset_lineage(spark, sf_dir)
     )
     return levels.withColumn("batch_num", F.col("batch_num").cast("bigint"))
 

@@ -1,3 +1,4 @@
+import random
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -308,3 +309,41 @@ def test_level_tasks(spark):
     table = spark.createDataFrame([("t:a", "t", 1, "ok"), ("t:b", "t", 2, "ok")],
                                   "task_id string, pipeline_id string, batch_num int, task_status string")
     assert rows(lineage.level_tasks(table, 2)) == [("t:b", "t", 2)]
+
+
+def test_levels_are_longest_chains_of_parents(spark):
+    """Random graphs of chains, branches, rings and missing parents, against plain Python."""
+    rng = random.Random(3)
+    for _ in range(4):
+        tasks = [f"t:{i}" for i in range(40)]
+        parents = {(t, tasks[rng.randrange(max(1, i))]) for i, t in enumerate(tasks) for _ in range(rng.choice([0, 1, 1, 1, 2, 3])) if i}
+        parents |= {("t:38", "t:39"), ("t:39", "t:38"), ("t:5", "absent")} if rng.random() < 0.7 else set()
+        known = {}
+
+        def level(task, above=()):
+            if task in above:
+                return None
+            if task not in known:
+                ups = [level(p, (*above, task)) for c, p in parents if c == task and p in tasks]
+                known[task] = None if None in ups else 1 + max(ups, default=0)
+            return known[task]
+
+        expected = {t: level(t) for t in reversed(tasks)}
+        got = levels(spark, tasks, [*parents])
+        assert {t: r.batch_num for t, r in got.items()} == expected
+
+
+def test_a_chain_of_a_thousand_is_few_jobs(spark):
+    chain = spark.range(1000).select(
+        F.concat(F.lit("t:"), F.col("id")).alias("task_id"),
+        F.when(F.col("id") > 0, F.concat(F.lit("t:"), F.col("id") - 1)).alias("parent_id"),
+    )
+    tracker, group = spark.sparkContext.statusTracker(), "chain"
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        found = lineage.lineage_levels(chain)
+        jobs = len(tracker.getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert found.agg(F.max("batch_num"), F.countDistinct("batch_num")).first() == (1000, 1000)
+    assert jobs < 60  # those that only broadcast a small side included
