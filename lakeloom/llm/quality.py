@@ -20,7 +20,7 @@ from lakeloom.llm.common import arrow_udf, id_text, pieces, powers, prefix_hash
 #: Labelled documents the fit may use: the bound of the training sample.
 TRAIN_DOCUMENTS = 3000
 #: Bytes of text whose features are made at a time: they take a hundred times as much.
-SLICE = 500_000
+SLICE = 250_000
 THRESHOLD = 0.3
 EPOCHS = 250
 

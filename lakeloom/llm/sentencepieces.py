@@ -24,8 +24,9 @@ from pyspark.sql import types as T
 from lakeloom.llm.common import arrow_udf, pieces
 
 SPACE = "▁"
-#: Encoded words and checked neighbours that a task remembers; only speed depends on it.
-MEMORY = 300_000
+#: Encoded words and checked neighbours that a task remembers, and the longest such words: so
+#: the bytes are bounded.  Only speed depends on it.
+MEMORY, LONGEST = 150_000, 64
 
 
 class _Memory(dict):
@@ -39,6 +40,8 @@ class _Memory(dict):
         value = self.old.get(key)
         if value is None:
             value = self.make(key)
+        if isinstance(key, str) and len(key) > LONGEST:
+            return value
         if len(self) >= self.limit:
             self.old = dict(self)
             self.clear()
