@@ -26,7 +26,7 @@ from lakeloom.llm.common import arrow_udf, pieces
 SPACE = "▁"
 #: Encoded words and checked neighbours that a task remembers, and the longest such words: so
 #: the bytes are bounded.  Only speed depends on it.
-MEMORY, LONGEST = 150_000, 64
+MEMORY, LONGEST = 220_000, 64
 
 
 class _Memory(dict):
