@@ -153,8 +153,9 @@ def update_history_table(
     with scratch_tables(spark):
         rebuild = is_true(full_refresh) or not table_exists(spark, target)
         held = None if rebuild else laid_out(spark, target, fmt)
-        if not rebuild and BUCKET not in held.columns:
-            # A table of another layout is rewritten once.
+        unlaid = not rebuild and "buckets" not in read_record(spark, target)
+        if unlaid:
+            # A table of another layout, or whose record is lost, is rewritten once.
             n = buckets or bucket_count(folder_bytes(spark, target))
             overwrite(_laid(held, roles, n), target, layout, fmt, reads_target=True)
             write_record(spark, target, buckets=n, bucket_keys=key_types(held, keys))
