@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on character n-grams.
 
-A text's features are its hashed byte 1- to 4-grams of letters (lower case, other characters
-as word ends), log counts times inverse document frequency, at unit length.  The weights are
+A text's features are its hashed 1- to 4-grams of characters (code points in lower case; ASCII
+other than letters ends words), log counts times inverse document frequency, at unit length.  The weights are
 learned by the follow-the-regularised-leader method with elastic-net penalties, which leaves
 most of them zero; a temperature fitted on rows kept from the learning calibrates the
 probabilities.
@@ -18,32 +18,56 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakeloom.llm.common import arrow_udf, id_text, pieces, ship
+from lakeloom.llm.common import arrow_udf, id_text, pieces, ship, small
+from lakeloom.shared import materialize
 
 #: Rows of each language that the fit may use: the bound of the training sample.
 TRAIN_ROWS_PER_LANG = 1000
 #: Languages a model may have; each is a column of weights.
 UNKNOWN = "und"
-BITS = 13
+BITS = 15
 WIDTH = 1 << BITS
 GRAMS = (1, 2, 3, 4)
+#: Bytes of texts that are looked at together, and characters of a longer one.
+SLICE, RUN = 2_000_000, 1 << 20
+#: Parts in which each language's first rows are found before its parts are compared.
+PARTS = 64
 
 _MIX = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
 def _fold_table() -> np.ndarray:
-    """Bytes to letters in lower case; what is no letter in ASCII ends a word (a space)."""
-    table = np.full(256, 32, np.uint8)
+    """ASCII to letters in lower case; what is no letter ends a word (a space)."""
+    table = np.full(128, 32, np.uint32)
     table[97:123] = np.arange(97, 123)
     table[65:91] = np.arange(97, 123)
-    table[128:] = np.arange(128, 256)
     return table
 
 
 _FOLD = _fold_table()
 
 
-def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
+def _hashes(data: np.ndarray) -> np.ndarray:
+    """Row n - 1 holds, for each place, the feature number of the n characters that end there."""
+    hashed = np.empty((len(GRAMS), len(data)), np.uint32)
+    grown = np.zeros(len(data), np.uint32)
+    for n in GRAMS:
+        grown *= np.uint32(0x01000193)
+        grown[n - 1 :] += data[: max(0, len(data) - n + 1)] * _MIX[0]
+        mixed = grown + np.uint32(n)
+        mixed ^= mixed >> np.uint32(15)
+        np.multiply(mixed, _MIX[n - 1], out=hashed[n - 1])
+    hashed >>= np.uint32(32 - BITS)
+    return hashed
+
+
+def _counted(hashed: np.ndarray, low: int, high: int, since: int = 0) -> np.ndarray:
+    """How often each feature lies in places ``low`` to ``high``, ending from ``since`` on."""
+    inside = [hashed[n - 1, max(low + n - 1, since) : high] for n in GRAMS]
+    return np.bincount(np.concatenate(inside), minlength=WIDTH)
+
+
+def features(texts: list[str]) -> list[tuple[np.ndarray, np.ndarray]]:
     """Per text the feature numbers, ascending, and their log counts.
 
     The texts are lower-cased before; runs of other characters count as one space, and text
@@ -51,7 +75,8 @@ def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     """
     if not texts:
         return []
-    folded = _FOLD[np.frombuffer(b" " + b" ".join(texts) + b" ", np.uint8)]
+    data = np.frombuffer(f" {' '.join(texts)} ".encode("utf-32-le", "replace"), np.uint32)
+    folded = np.where(data < 128, _FOLD[np.minimum(data, 127)], data)
     # Text t starts with the space before it and ends with the one after it.
     ends = np.cumsum([len(t) + 1 for t in texts])
     keep = np.ones(len(folded), bool)
@@ -59,32 +84,27 @@ def features(texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
     keep[ends] = True
     keep[0] = True
     before = np.concatenate([[0], np.cumsum(keep)])
-    data = folded[keep].astype(np.uint32)
+    data = folded[keep]
     bounds = before[np.concatenate([[0], ends])]
-    # Row n holds, for each place, the hash of the n bytes that end there.
-    hashed = np.empty((len(GRAMS), len(data)), np.uint32)
-    grown = np.zeros(len(data), np.uint32)
-    for n in GRAMS:
-        grown *= np.uint32(0x01000193)
-        grown[n - 1 :] += data[: len(data) - n + 1]
-        np.multiply(grown + np.uint32(n), _MIX[n - 1], out=hashed[n - 1])
-    hashed >>= np.uint32(32 - BITS)
+    if len(texts) == 1 and len(data) > RUN:
+        every = [np.zeros(WIDTH, np.int64)]
+        for start in range(0, len(data), RUN):
+            first = max(0, start - len(GRAMS) + 1)
+            run = data[first : start + RUN]
+            every[0] += _counted(_hashes(run), 0, len(run), start - first)
+    else:
+        hashed = _hashes(data)
+        spans = zip(bounds[:-1].tolist(), (bounds[1:] + 1).tolist(), strict=True)
+        every = (_counted(hashed, low, high) for low, high in spans)
     found = []
-    for low, high in zip(bounds[:-1].tolist(), (bounds[1:] + 1).tolist(), strict=True):
-        if high - low >= len(GRAMS):
-            # The first places are those where the shorter strings alone lie in the text.
-            inside = [hashed[:, low + len(GRAMS) - 1 : high].ravel()]
-            inside += [hashed[n - 1, low + n - 1 : low + len(GRAMS) - 1] for n in GRAMS]
-        else:
-            inside = [hashed[n - 1, low + n - 1 : high] for n in GRAMS]
-        counts = np.bincount(np.concatenate(inside), minlength=WIDTH)
+    for counts in every:
         at = np.flatnonzero(counts)
         found.append((at, np.log1p(counts[at])))
     return found
 
 
-def lowered(texts: list[bytes]) -> list[bytes]:
-    return [t.decode("utf-8", "replace").lower().encode() for t in texts]
+def lowered(texts: list[bytes]) -> list[str]:
+    return [t.decode("utf-8", "replace").lower() for t in texts]
 
 
 class Model(NamedTuple):
@@ -178,7 +198,7 @@ def document_frequency(docs: DataFrame) -> tuple[int, np.ndarray]:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, rows = np.zeros(WIDTH, np.int64), 0
         for batch in batches:
-            for _, part in pieces(batch.column(0)):
+            for _, part in pieces(batch.column(0), SLICE):
                 rows += len(part)
                 for at, _logs in features(lowered(part)):
                     total[at] += 1
@@ -205,25 +225,23 @@ def train(docs: DataFrame, rows_per_lang: int = TRAIN_ROWS_PER_LANG) -> Model:
     usable = docs.where(~held_out(F.col("doc_id")) & F.col("lang").isNotNull())
     total, frequency = document_frequency(usable)
     idf = np.log((1 + total) / (1 + frequency)) + 1
-    # The rows are chosen by narrow columns; the cut is made in every task before the shuffle.
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = (
-        usable.select("doc_id", "lang")
-        .withColumn("rank", rank)
-        .where(F.col("rank") <= rows_per_lang)
-        .select("doc_id", "lang")
-        .distinct()
-    )
+    # The rows are chosen by narrow columns: by each task, then by parts, then of all parts.
+    order = F.xxhash64("doc_id"), F.col("doc_id")
+    rows = usable.select("doc_id", "lang", F.pmod(F.spark_partition_id(), F.lit(PARTS)).alias("part"))
+    for by in (["lang", "part"], ["lang"]):
+        rank = F.row_number().over(Window.partitionBy(*by).orderBy(*order))
+        rows = rows.withColumn("rank", rank).where(F.col("rank") <= rows_per_lang).drop("rank")
+    chosen = materialize(rows.select("doc_id", "lang").distinct(), "chosen")
 
     @arrow_udf(T.StructType().add("at", T.BinaryType()).add("logs", T.BinaryType()))
     def numbers(texts: pa.Array) -> pa.Array:
-        found = [x for _, part in pieces(texts) for x in features(lowered(part))]
+        found = [x for _, part in pieces(texts, SLICE) for x in features(lowered(part))]
         at = pa.array([x[0].astype(np.int32).tobytes() for x in found], pa.binary())
         logs = pa.array([x[1].astype(np.float32).tobytes() for x in found], pa.binary())
         return pa.StructArray.from_arrays([at, logs], ["at", "logs"])
 
     rows = (
-        usable.join(F.broadcast(chosen), ["doc_id", "lang"])
+        usable.join(small(chosen), ["doc_id", "lang"])
         .groupBy("doc_id", "lang")
         .agg(F.min("text").alias("text"))
         .select("doc_id", "lang", numbers("text").alias("f"))
@@ -245,14 +263,14 @@ def predict(text: Column, model: Model) -> Column:
     @arrow_udf(T.StructType().add("lang_pred", T.StringType()).add("score", T.DoubleType()))
     def run(texts: pa.Array) -> pa.Array:
         names, probabilities = [], []
-        for _, part in pieces(texts):
+        for _, part in pieces(texts, SLICE):
             plain = [t.decode("utf-8", "replace") for t in part]
             letters = [any(map(str.isalpha, t)) for t in plain]
             if not model.langs:
                 names += [UNKNOWN] * len(part)
                 probabilities += [float(not x) for x in letters]
                 continue
-            found = features([t.lower().encode() for t in plain])
+            found = features([t.lower() for t in plain])
             p = _softmax(logits(model, found) / model.temperature)
             best = p.argmax(1)
             for i, has in enumerate(letters):
