@@ -30,6 +30,8 @@ ZSTD_MAGIC = b"\x28\xb5\x2f\xfd"
 #: Smaller payloads are stored each time.
 LEAST_REVISIT = 100
 ARCHIVE_BYTES = 64 << 20
+#: Tasks at most that read archives.
+READERS = 20_000
 #: The dictionary is trained on so many payloads, none longer than so many bytes.
 SAMPLE_PAGES, SAMPLE_BYTES, DICTIONARY_BYTES = 300, 32_000, 64_000
 DATE = "2000-01-01T00:00:00Z"
@@ -37,13 +39,16 @@ REQUIRED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 
 
 def dictionary(pages: DataFrame) -> bytes:
-    """A dictionary trained on a bounded sample, the payloads first by hash; empty if there
-    are too few to train on."""
+    """A dictionary trained on a bounded sample, the different payloads first by hash; empty if
+    there are too few to train on.  Only hashes are ranked; then the chosen payloads are read."""
+    fit = pages.where(F.octet_length("html").between(1, SAMPLE_BYTES))
+    fit = fit.select(F.xxhash64("html").alias("h"), "html")
+    first = [r.h for r in fit.select("h").distinct().orderBy("h").limit(SAMPLE_PAGES).collect()]
     rows = (
-        pages.where(F.octet_length("html").between(1, SAMPLE_BYTES))
-        .select(F.encode("html", "UTF-8").alias("payload"), F.xxhash64("html").alias("h"))
+        fit.where(F.col("h").isin(first))
+        .groupBy("h")
+        .agg(F.min(F.encode("html", "UTF-8")).alias("payload"))
         .orderBy("h")
-        .limit(SAMPLE_PAGES)
         .collect()
     )
     samples = [bytes(r.payload) for r in rows]
@@ -288,5 +293,7 @@ def read(manifest: DataFrame, *, payload: bool = False) -> DataFrame:
                 yield made(rows)
 
     ship(manifest.sparkSession)
-    spread = manifest.repartition(F.col("path"))
+    # A stated number of partitions is not merged: archives are large, their rows here are not.
+    count = min(max(1, manifest.count()), READERS)
+    spread = manifest.repartition(count, "path")
     return spread.select("folder", "path").mapInArrow(run, fields + ", error string")
