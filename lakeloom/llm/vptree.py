@@ -105,7 +105,8 @@ def _distance(cosine: np.ndarray) -> np.ndarray:
 
 def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Cosines of the rows of two matrices, in double precision.  Sums run from the first
-    component to the last, so equal rows get equal values."""
+    component to the last, so equal rows get equal values.  Rows are scaled by powers of two,
+    which rounds nothing, so that no square leaves the range of doubles."""
 
     def dot(x: np.ndarray, y: np.ndarray) -> np.ndarray:
         total = np.zeros(len(x))
@@ -113,9 +114,17 @@ def cosines(a: np.ndarray, b: np.ndarray) -> np.ndarray:
             total += x[:, i] * y[:, i]
         return total
 
+    a, b = _scaled(a), _scaled(b)
     return np.clip(dot(a, b) / np.sqrt(dot(a, a) * dot(b, b)), -1, 1)
 
 
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Rows times a power of two, the largest component between a half and one."""
+    if not x.size:
+        return x
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1, keepdims=True))[1])
+
+
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
     flat = column.combine_chunks()
     if isinstance(flat, pa.ChunkedArray):
