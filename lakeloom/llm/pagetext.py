@@ -30,17 +30,18 @@ INPUT = PATH + WORD + FIGURES
 
 _NAME = r"[a-zA-Z][^\s/>]*+"
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|"
+    r"<!--(?:-?>|.*?(?:--!?>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|"
     rf"<(/?)({_NAME})((?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)>|<(/?)({_NAME})([^>]*+)>",
     re.S,
 )
+_NOSCRIPT_END = re.compile(r"</noscript\b", re.I)
 _ATTRIBUTE = re.compile(r"(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
-#: Elements whose contents are no markup, and the head: skipped up to their end tag.
-SKIPPED = frozenset("head script style noscript textarea iframe title".split())
+#: Elements whose contents are no markup: skipped up to their end tag.
+SKIPPED = frozenset("script style textarea iframe title".split())
 #: Elements whose contents are no text of the page; they end with their parent at the latest.
-UNSEEN = frozenset("template select button svg object canvas".split())
+UNSEEN = frozenset("template select button svg object canvas noscript".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp "
     "small span strike strong sub sup time tt u var wbr br "
@@ -66,13 +67,16 @@ def blocks(page: str) -> list[Block]:
     """The blocks of a page that have text, in its order.
 
     Comments, declarations and the contents of ``SKIPPED`` and ``UNSEEN`` elements are left out; character
-    references are decoded, white space (``<br>`` too) becomes one space.
+    references are decoded, white space (``<br>`` too) becomes one space.  A head has no text but
+    that of such elements, so other text before its end tag, or without one, is the page's.  A
+    ``noscript`` that no end tag follows is no element.
     """
     found: list[Block] = []
     stack: list[tuple[str, str]] = []
     parts: list[str] = []
     linked = links = hidden = 0
     where: tuple | None = None
+    last: int | None = None  # where the last end tag of a noscript stands
 
     def close() -> None:
         nonlocal parts, linked, where
@@ -109,16 +113,22 @@ def blocks(page: str) -> list[Block]:
         if name in SKIPPED:
             if not closing and not attributes.endswith("/"):
                 end = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-                body = re.compile(r"<body\b", re.I).search(page, at) if name == "head" else None
-                if body and (not end or body.start() < end.start()):
-                    at = body.start()  # a head that is not ended
-                else:
-                    at = end.end() if end else len(page)
+                at = end.end() if end else len(page)
             parts.append(" ")
             continue
         if name == "br":
             parts.append(" ")
             continue
+        if name == "head":
+            if not hidden:
+                close()
+            continue
+        if name == "noscript" and not closing:
+            if last is None:
+                last = max((m.start() for m in _NOSCRIPT_END.finditer(page)), default=-1)
+            if last < at:
+                parts.append(" ")
+                continue
         inner = name in INLINE or name in UNSEEN
         if name in UNSEEN:
             parts.append(" ")
@@ -550,15 +560,13 @@ def built(texts: list[str], n: int = BUILT_PAGES, seed: int = 5) -> tuple[list[l
 
 
 def train(pages: DataFrame, sample: int = SAMPLE_PAGES, n: int = BUILT_PAGES, epochs: int = EPOCHS) -> Model:
-    """Fit on the ``sample`` pages first by the hash of their html, and ``n`` pages built from
-    the texts in them."""
-    rows = (
-        pages.where(F.octet_length("html").between(1, SAMPLE_BYTES))
-        .select("html", F.xxhash64("html").alias("h"))
-        .orderBy("h", "html")
-        .limit(sample)
-        .collect()
-    )
+    """Fit on the ``sample`` different pages first by the hash of their html, and ``n`` pages
+    built from the texts in them.  Only hashes are ranked; then the chosen pages are read."""
+    fit_for = pages.where(F.octet_length("html").between(1, SAMPLE_BYTES))
+    fit_for = fit_for.select(F.xxhash64("html").alias("h"), "html")
+    first = [r.h for r in fit_for.select("h").distinct().orderBy("h").limit(sample).collect()]
+    chosen = fit_for.where(F.col("h").isin(first)).groupBy("h").agg(F.min("html").alias("html"))
+    rows = chosen.orderBy("h").collect()
     return train_on([r.html for r in rows], n, epochs)
 
 

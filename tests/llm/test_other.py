@@ -183,3 +183,16 @@ def test_hidden_elements_end_with_their_parent():
         assert texts(f"<p>one <{name}><div>no</div><g>no</g></{name}> two</p>three") == ["one two", "three"]
     assert texts("<p>if <math><mi>x</mi><mo>=</mo><mn>2</mn></math> then") == ["if x=2 then"]
     assert texts("<p>one<script>no <p>no") == ["one"]
+
+
+def test_nothing_is_lost_to_broken_heads_and_comments():
+    def texts(page):
+        return [b.text for b in pagetext.blocks(page)]
+
+    assert texts("<html><head><title>T</title><article><p>Hello world</p></article>") == ["Hello world"]
+    assert texts("<head><meta charset=x><style>no</style><p>one</head><body><p>two") == ["one", "two"]
+    assert texts("<p>one</p><noscript><img><p>two") == ["one", "two"]
+    assert texts("<p>one<noscript><p>no</noscript> two<noscript> three") == ["one two three"]
+    assert texts("<header><noscript>no<p>no</header><p>one<noscript>no</noscript>") == ["one"]
+    assert texts("<p>a</p><!--> <p>b</p><!---><p>c</p><!-- no --!><p>d") == ["a", "b", "c", "d"]
+    assert texts("<noscript>" * 20_000 + "x") == ["x"]
