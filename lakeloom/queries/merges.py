@@ -134,6 +134,19 @@ def identity_transfer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return portable(read_table(spark, path))
 
 
+@register("""
+SELECT o_orderkey::VARCHAR AS o_orderkey, o_custkey::BIGINT AS o_custkey, o_orderstatus,
+  o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate,
+  TRY_CAST(o_orderpriority AS BIGINT) AS o_orderpriority
+FROM orders""")
+def identity_transfer_typed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "copy")
+    types = {"o_orderkey": "string", "o_custkey": "bigint", "o_orderdate": "date", "o_orderpriority": "int"}
+    sinks.copy_table(spark, f"{sf_dir}/orders.parquet", path, types=types)
+    day, rank = F.col("o_orderdate").cast("string"), F.col("o_orderpriority").cast("bigint")
+    return read_table(spark, path).withColumns({"o_orderdate": day, "o_orderpriority": rank})
+
+
 @register("""
 SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, left(c_name, 12) AS c_name,
   CAST(c_nationkey AS BIGINT) AS c_nationkey, left(c_mktsegment, 4) AS c_mktsegment,

@@ -9,7 +9,7 @@ to few partitions anyway switch it off.
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -199,10 +199,16 @@ def replace_since(
 
 def copy_table(
     spark: SparkSession, source: str, target: str, partition_by: Sequence[str] = (),
-    fmt: str = "parquet",
+    fmt: str = "parquet", types: Mapping[str, str] | None = None,
 ) -> None:
-    """Copy a table unmodified, schema included."""
-    overwrite(read_table(spark, source, fmt=fmt), target, partition_by, fmt)
+    """Copy a table, schema included.  Columns named in ``types`` take those types instead;
+    values that do not convert become NULL, and an unknown column is an error."""
+    table = read_table(spark, source, fmt=fmt)
+    if unknown := set(types or ()) - set(table.columns):
+        raise ValueError(f"no columns {sorted(unknown)} in {source}")
+    for name, kind in (types or {}).items():
+        table = table.withColumn(name, F.col(f"`{name}`").try_cast(kind))
+    overwrite(table, target, partition_by, fmt)
 
 
 def parse_columns(schema: str) -> list[tuple[str, str, int | None]]:

@@ -175,3 +175,14 @@ def test_permanent_view_and_catalog_compaction(spark, path):
         spark.sql("drop view if exists same_rows")
         spark.sql("drop table small_files")
         spark.sql("drop database other")
+
+
+def test_copies_take_declared_types(spark, path):
+    source, target = path("source"), path("target")
+    spark.createDataFrame([("1", "x"), ("two", None)], "id string, note string").write.parquet(source)
+    sinks.copy_table(spark, source, target, types={"id": "int"})
+    copied = files.read_table(spark, target)
+    assert copied.schema.simpleString() == "struct<id:int,note:string>"
+    assert {tuple(r) for r in copied.collect()} == {(1, "x"), (None, None)}
+    with pytest.raises(ValueError, match="none"):
+        sinks.copy_table(spark, source, target, types={"none": "int"})
