@@ -101,11 +101,20 @@ def levenshtein(a, b):
 
 
 def python_simhash(words):
-    total, weights = Counter(), [1 if len(w) <= 4 else len(w) for w in words]
-    for w, weight in zip(words, weights, strict=True):
-        h = xxhash.xxh64_intdigest(w.encode(), seed=42)
-        total.update({i: weight for i in range(64) if h >> i & 1})
-    return sum(1 << i for i in range(64) if 2 * total[i] > sum(weights))
+    """Six blocks of ten bits by the definition: weights of different words, drawn for each block."""
+    bits = 0
+    for j in range(6):
+        total, held = 0, Counter()
+        for w in set(words):
+            h = xxhash.xxh64_intdigest(w.encode(), seed=42)
+            seed = xxhash.xxh64_intdigest(j.to_bytes(4, "little"), seed=42)
+            x = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed=seed)
+            length = 1 if len(w) <= 4 else min(len(w), 31)
+            weight = min((length << 16) // (1 + (x >> 48)), 65536) ** 2
+            total += weight
+            held.update({i: weight for i in range(10) if x >> i & 1})
+        bits |= sum(1 << 10 * j + i for i in range(10) if 2 * held[i] > total)
+    return bits
 
 
 def linked_lines(keys):
@@ -151,12 +160,15 @@ def test_lines_are_those_of_all_pairs(spark, documents):
     assert cleaned == expected
 
 
-def test_long_lines_have_the_same_simhash(spark):
+def test_simhashes_are_those_of_the_definition(spark):
+    rng = random.Random(9)
     words = [f"w{k % 90}" for k in range(5000)]
-    short = words[:100]
-    df = spark.createDataFrame([(1, words), (2, short)], "id int, words array<string>")
-    got = {r.id: r.simhash & (2**64 - 1) for r in lines.with_simhash(df).collect()}
-    assert got == {1: python_simhash(words), 2: python_simhash(short)}
+    rows = [(1, words), (2, words[:100]), (3, ["a"]), (4, ["x" * 5000, "ü", "𝒳"])]
+    rows += [(5 + k, ["w" * rng.randint(1, 40) + str(rng.random()) for _ in range(k)]) for k in range(1, 60)]
+    df = spark.createDataFrame(rows, "id int, words array<string>")
+    got = {r.id: r.simhash for r in lines.with_simhash(df).collect()}
+    assert got == {i: python_simhash(w) for i, w in rows}
+    assert got[1] == got[2]
 
 
 def test_encoding_is_the_librarys(spark):
