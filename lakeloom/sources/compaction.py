@@ -15,7 +15,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lakeloom.functions import named
-from lakeloom.shared import hadoop_path, materialize, scratch_tables
+from lakeloom.operators.keys import number_rows
+from lakeloom.shared import hadoop_path, materialize, scratch_tables, session_settings
 from lakeloom.sources.files import laid_out
 from lakeloom.sources.records import read_record, write_record
 
@@ -62,11 +63,12 @@ def compact_in_place(
         parts = partition_columns(spark, path)
         table = laid_out(spark, path, fmt, evolved=True)
         chosen = materialize(bins(table, parts, file_bytes), "bins")
-        n, files = chosen.agg(
-            F.countDistinct(F.struct(*map(named, parts), F.col("__bin"))), F.count("*")
-        ).first()
+        files = chosen.count()
         if not files:
             return 0
+        # Each bin has a number of its own, so that no task gets two of them.
+        numbered = materialize(number_rows(chosen.drop("__file").distinct(), [*parts, "__bin"], "__n"), "bin-numbers")
+        n = numbered.count()
         where = table.metadataColumn("_metadata")
         rows = table.withColumn("__path", where["file_path"])
         if parts:
@@ -74,12 +76,16 @@ def compact_in_place(
             touched = chosen.select(*[named(c).alias(f"__{i}") for i, c in enumerate(parts)]).distinct()
             same = [named(c).eqNullSafe(F.col(f"__{i}")) for i, c in enumerate(parts)]
             rows = rows.join(touched, reduce(and_, same), "left_semi")
-        numbers = chosen.select(F.col("__file").alias("__path"), "__bin")
-        rows = rows.join(numbers, "__path").repartition(n, *map(named, parts), "__bin")
+        alike = [F.col(f"c.`{c}`").eqNullSafe(F.col(f"b.`{c}`")) for c in [*parts, "__bin"]]
+        numbers = chosen.alias("c").join(numbered.alias("b"), reduce(and_, alike)).select(F.col("__file").alias("__path"), "__n")
+        rows = rows.join(numbers, "__path").repartitionById(n, F.col("__n").cast("int") - 1)
         rows = rows.select(*map(named, table.columns))
         if parts:
             writer = rows.write.partitionBy(*parts).option("partitionOverwriteMode", "dynamic")
-            writer.mode("overwrite").format(fmt).save(path)
+            # A bin lies in one partition: its rows go to one file as they come, and Spark need
+            # not sort them by partition, which would hold them all.
+            with session_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "1"}):
+                writer.mode("overwrite").format(fmt).save(path)
         else:
             record = read_record(spark, path)
             rows = materialize(rows, "compact").coalesce(n)

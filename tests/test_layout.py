@@ -262,3 +262,16 @@ def test_compaction_keeps_layout_and_record(spark, path):
     silver.update_silver(spark, path("b"), path("s"), role, "pk_merge", mark=mark, inclusive=False)
     table = files.read_table(spark, path("s"))
     assert table.count() == 60 and rows(table.where("k = 3").select("v")) == [("new",)]
+
+
+def test_compaction_gives_each_task_one_bin(spark, path):
+    rows_ = spark.range(4000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("v"), (F.col("id") % 7).alias("p"))
+    rows_.repartition(4).write.partitionBy("p").parquet(path("t"))
+    before = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    assert compaction.compact_in_place(spark, path("t"), file_bytes=40_000) == 28
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == before
+    files_ = data_files(path("t"))
+    # No task has written two bins.
+    tasks = [f.split("-")[1] for names in files_.values() for f in names]
+    assert len(set(tasks)) == len(tasks)
+    assert rows(spark.read.parquet(path("t")).select("id", "v", "p")) == rows(rows_)
