@@ -15,12 +15,18 @@ def extraction_stamp(stamp: str | Column | None = None, stamp_format: str = STAM
     return F.date_format(F.current_timestamp() if stamp is None else stamp, stamp_format)
 
 
-def _append(df: DataFrame, path: str, partition: str, fmt: str, many_stamps: bool) -> None:
+#: Codec of landed text, and lines of a file: such files cannot be split by their readers.
+TEXT_CODEC, TEXT_LINES = "lz4", 500_000
+
+
+def _append(
+    df: DataFrame, path: str, partition: str, fmt: str, many_stamps: bool, **options: object
+) -> None:
     # With one stamp every task writes one file and no shuffle is needed.  Rows that carry
     # their own stamps are rebalanced: few, evenly sized files per stamp, big stamps split.
     if many_stamps:
         df = df.hint("rebalance", F.col(partition))
-    df.write.mode("append").partitionBy(partition).format(fmt).save(path)
+    df.write.mode("append").partitionBy(partition).format(fmt).options(**options).save(path)
 
 
 def land_text(
@@ -30,7 +36,8 @@ def land_text(
     stamp: str | Column | None = None,
     stamp_format: str = STAMP_FORMAT,
 ) -> None:
-    """Append documents, one per line.  ``df`` has the document text as its first column."""
+    """Append documents, one per line.  ``df`` has the document text as its first column.  Files
+    are compressed: keys of JSON documents repeat in every line."""
     text = F.col(df.columns[0]).cast("string").alias("value")
     _append(
         df.select(text, extraction_stamp(stamp, stamp_format).alias(partition)),
@@ -38,6 +45,8 @@ def land_text(
         partition,
         "text",
         many_stamps=isinstance(stamp, Column),
+        compression=TEXT_CODEC,
+        maxRecordsPerFile=TEXT_LINES,
     )
 
 
