@@ -40,8 +40,8 @@ SELECT CAST(l_orderkey AS VARCHAR) AS key_order,
   CASE l_linestatus WHEN 'F' THEN '{FIRST}' ELSE '{SECOND}' END AS partition
 FROM both_levels""")
 def bronze_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Two landed extractions, loaded in two runs.  The second run reads the first stamp
-    again, for the mark is inclusive, and still every row is there once."""
+    """Two landed extractions, loaded in two runs.  The mark is inclusive, but the second run
+    finds the first stamp's files unchanged and loads them no second time."""
     landed, target = scratch_path(spark, "landed"), scratch_path(spark, "bronze")
     documents = nested_lines(spark, sf_dir)
     mark = None

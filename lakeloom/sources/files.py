@@ -46,6 +46,16 @@ def stamp_folders(spark: SparkSession, path: str, partition: str) -> list[StampF
     return sorted(found, key=lambda f: (stamp_key(f.stamp), f.stamp))
 
 
+def folder_state(spark: SparkSession, path: str) -> list[list[Any]]:
+    """Name, length and time of every file below a folder."""
+    fs, where = hadoop_path(spark, path)
+    found, listed = [], fs.listFiles(where, True)
+    while listed.hasNext():
+        f = listed.next()
+        found.append([f.getPath().toString(), f.getLen(), f.getModificationTime()])
+    return sorted(found)
+
+
 def folders_since(
     folders: list[StampFolder], mark: Any, inclusive: bool = True
 ) -> list[StampFolder]:

@@ -17,12 +17,15 @@ from pyspark.sql.types import BooleanType, DataType, NumericType
 
 from lakeloom.functions import named
 from lakeloom.operators.filters import since
-from lakeloom.shared import materialize, scratch_tables
+from lakeloom.shared import materialize, scratch_tables, session_settings
 from lakeloom.sources import buckets
 from lakeloom.sources.compaction import compact_in_place
 from lakeloom.sources.files import file_schema, read_table, table_exists
 from lakeloom.sources.records import merged_schema, write_record
 
+#: Files that a task has open at most; with more partitions Spark sorts the rows that are left.
+OPEN_FILES = "4"
+
 
 def _write(
     df: DataFrame,
@@ -36,9 +39,14 @@ def _write(
     if partition_by and rebalance:
         df = df.hint("rebalance", *map(named, partition_by))
     writer = df.write.mode(mode).format(fmt).options(**options)
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.save(path)
+    if not partition_by:
+        writer.save(path)
+    elif rebalance:
+        writer.partitionBy(*partition_by).save(path)
+    else:
+        # Tasks that write to few partitions keep their files open instead of sorting their rows.
+        with session_settings(df.sparkSession, {"spark.sql.maxConcurrentOutputFileWriters": OPEN_FILES}):
+            writer.partitionBy(*partition_by).save(path)
 
 
 def overwrite(

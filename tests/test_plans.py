@@ -58,6 +58,34 @@ def test_empty_input_keeps_the_mark(spark, path):
     assert files.read_table(spark, path("b")).count() == 1
 
 
+def test_bronze_loads_an_unchanged_stamp_once(spark, path):
+    def files_of(stamp):
+        return {f.name for f in Path(path("b"), f"partition={stamp}").glob("*.parquet")}
+
+    def run(mark, **options):
+        return bronze.update_from_json(spark, path("l"), path("b"), mark=mark, **options)
+
+    land(spark, path("l"), "20250101000000", '{"a": [1, 2]}')
+    assert all(f.suffix == ".lz4" for f in Path(path("l")).rglob("part-*"))
+    mark = run(None)
+    first = files_of(mark)
+    land(spark, path("l"), "20250201000000", '{"a": [3], "b": 1}')
+    assert run(mark) == "20250201000000" and files_of("20250101000000") == first
+    # Its own stamp again: nothing new.
+    mark, second = "20250201000000", files_of("20250201000000")
+    assert run(mark) == mark and files_of(mark) == second
+    # A file more in it: it is loaded again, whole and once.
+    land(spark, path("l"), mark, '{"a": [4, 5]}')
+    assert run(mark) == mark and files_of(mark) != second
+    table = files.read_table(spark, path("b"), evolved=True)
+    assert sorted(r.a for r in table.collect()) == ["1", "2", "3", "4", "5"]
+    # So it is if it is loaded in another way.
+    second = files_of(mark)
+    run(mark, multi_line=True)
+    assert files_of(mark) != second
+    assert files.read_table(spark, path("b"), evolved=True).count() == 5
+
+
 def test_bronze_parquet(spark, path):
     df = spark.sql("select 1 as `a.b`, array(1, 2) as c, map('k', 1) as m")
     landing.land_rows(df, path("l"), stamp="20250101000000")
