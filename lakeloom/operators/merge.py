@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from lakeloom.functions import named
 from lakeloom.operators.dedup import distinct_keys, require_unique
 from lakeloom.operators.filters import drop_null_keys
+from lakeloom.shared import materialize
 
 
 def like_target(updates: DataFrame, target: DataFrame) -> DataFrame:
@@ -60,13 +61,15 @@ def in_partitions(
     target: DataFrame, updates: DataFrame, partition_by: Sequence[str], touched: bool = True
 ) -> DataFrame:
     """The target's rows in partitions that ``updates`` has rows in, or in the others.  NULL is
-    a partition like any other."""
+    a partition like any other.  The updates' partitions are written first: Spark then knows how
+    few they are, and does not shuffle the target by them, a task for each."""
     if not partition_by:
         raise ValueError("Partition columns are required.")
     kinds = {c: target.schema[c].dataType for c in partition_by}
     found = distinct_keys(updates, partition_by).select(
         *[named(c).cast(kinds[c]).alias(f"__{i}") for i, c in enumerate(partition_by)]
     )
+    found = materialize(found, "partitions")
     same = reduce(and_, [named(c).eqNullSafe(F.col(f"__{i}")) for i, c in enumerate(partition_by)])
     return target.join(found, same, "left_semi" if touched else "left_anti")
 

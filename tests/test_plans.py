@@ -351,3 +351,15 @@ def test_hot_keys_are_split(spark):
     finally:
         for key, value in before.items():
             spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
+def test_a_merge_does_not_shuffle_the_target_by_its_partitions(spark, path):
+    kinds = F.when(F.col("id") % 3 > 0, F.lit("x")).alias("p")
+    spark.range(100).select("id", kinds).write.parquet(path("t"))
+    updates = spark.range(3_000_000).select("id", F.lit("x").alias("p"), F.col("id").alias("v"))
+    kept = merge.in_partitions(spark.read.parquet(path("t")), updates, ["p"])
+    plan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert kept.count() == 66
+    others = merge.in_partitions(spark.read.parquet(path("t")), updates, ["p"], touched=False)
+    assert others.count() == 34
