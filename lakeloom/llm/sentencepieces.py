@@ -167,8 +167,13 @@ class Pieces:
         return array("I", ids + self._known(known)).tobytes()
 
     def _encode_spaced(self, word: str) -> bytes:
-        text = word if word[0] == "\n" else SPACE + word
-        return b"".join(map(self.encoded.__getitem__, self.words.findall(text)))
+        """A word is remembered once: without its space, and without the marks that follow it."""
+        if word[0] == "\n":
+            return b"".join(map(self.encoded.__getitem__, self.words.findall(word)))
+        first, *rest = self.words.findall(SPACE + word)
+        if not rest:
+            return self._encode_word(first)
+        return self.spaced[first[1:]] + b"".join(map(self.encoded.__getitem__, rest))
 
     def encode(self, text: str) -> bytes:
         """Ids with begin and end, as little-endian unsigned 32-bit integers."""
@@ -277,17 +282,18 @@ def token_rows(docs: DataFrame, model_file: str, *, text: str = "text") -> DataF
 
     @arrow_udf(ROWS)
     def run(texts: pa.Array) -> pa.Array:
-        model, ids, back = load(model_file), [], []
+        model, flat, sizes, digests, back = load(model_file), bytearray(), [], [], []
         for _, part in pieces(texts):
             for t in part:
-                ids.append(model.encode(t.decode("utf-8", "replace")))
-                back.append(hashlib.sha256(model.decode(ids[-1]).encode()).hexdigest())
-        sizes = np.array([len(i) // 4 for i in ids], np.int64)
-        flat = pa.array(np.frombuffer(b"".join(ids), "<i4"))
-        ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        digests = pa.array([hashlib.sha256(i).hexdigest() for i in ids], pa.string())
+                ids = model.encode(t.decode("utf-8", "replace"))
+                flat += ids  # the ids of a batch are held once
+                sizes.append(len(ids) // 4)
+                digests.append(hashlib.sha256(ids).hexdigest())
+                back.append(hashlib.sha256(model.decode(ids).encode()).hexdigest())
+        ends = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]).astype(np.int32)
+        lists = pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(flat, "<i4")))
         return pa.StructArray.from_arrays(
-            [pa.array(sizes), pa.ListArray.from_arrays(ends, flat), digests, pa.array(back, pa.string())],
+            [pa.array(sizes, pa.int64()), lists, pa.array(digests, pa.string()), pa.array(back, pa.string())],
             ROWS.fieldNames(),
         )
 

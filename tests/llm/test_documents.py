@@ -296,3 +296,13 @@ def test_near_copies_with_repeated_passages(spark, documents):
     assert sum(i != c for i, c in expected.items()) == 40
     found = near.classes(documents([(i, t, "en", "a") for i, t in rows]))
     assert {r.doc_id: r.class_id for r in found.collect()} == expected
+
+
+def test_the_encoder_remembers_a_word_once():
+    model = sentencepieces.Pieces(MODEL)
+    texts = ["some words, (some) words. some-words 'words' Some", "words,words ,words words\nwords,\n,words\n\nwords", "ünï, ünï ¿ünï? 12,5 a,b a"]
+    for t in texts:
+        expected = model.library.encode(t, add_bos=True, add_eos=True)
+        assert np.frombuffer(model.encode(t), "<u4").tolist() == expected
+    bare = {w[1:] for w in model.encoded if w[0] == sentencepieces.SPACE}
+    assert not bare & set(model.spaced) and "words" in model.spaced
