@@ -306,3 +306,64 @@ def test_the_encoder_remembers_a_word_once():
         assert np.frombuffer(model.encode(t), "<u4").tolist() == expected
     bare = {w[1:] for w in model.encoded if w[0] == sentencepieces.SPACE}
     assert not bare & set(model.spaced) and "words" in model.spaced
+
+
+def test_a_word_is_heavier_in_a_block_of_its_own(spark):
+    rng = random.Random(12)
+    rows = [(k, [f"w{rng.randrange(400)}" for _ in range(1 + k % 40)]) for k in range(80)]
+    df = spark.createDataFrame(rows, "id int, words array<string>")
+    got = {r.id: r.simhash for r in lines.with_simhash(df, lines.OWN, f"size(words) <= {lines.SHORT}").collect()}
+    expected = {}
+    for k, words in rows:
+        bits = 0
+        for j in range(6):
+            total, held = 0, Counter()
+            for w in sorted(set(words)):
+                h = xxhash.xxh64_intdigest(w.encode(), seed=42)
+                home = (h - (h >> 63 << 64) >> 20) % 6
+                if home != j and len(words) > lines.SHORT:
+                    continue
+                seed = xxhash.xxh64_intdigest(j.to_bytes(4, "little"), seed=42)
+                x = xxhash.xxh64_intdigest(h.to_bytes(8, "little"), seed=seed)
+                length = 1 if len(w) <= 4 else min(len(w), 31)
+                q = min((length << 16) // (1 + (x >> 48)), 65536) * (lines.OWN if home == j else 1)
+                total += q * q
+                held.update({i: q * q for i in range(10) if x >> i & 1})
+            bits |= sum(1 << 10 * j + i for i in range(10) if 2 * held[i] > total)
+        expected[k] = bits
+    assert got == expected
+
+
+def test_one_common_word_makes_no_candidates(spark):
+    rng = random.Random(13)
+    rows = [(k, ["acknowledgements", *(f"w{rng.randrange(10**9)}" for _ in range(19))]) for k in range(2000)]
+    df = spark.createDataFrame(rows, "id int, words array<string>")
+    made = lines.with_simhash(df, lines.OWN, "false").select("id", F.explode(lines.block_keys()).alias("bucket"))
+    pairs = made.groupBy("bucket").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0]
+    assert pairs < 2000
+
+
+def test_a_pair_is_verified_once(spark, tmp_path):
+    path = str(tmp_path / "members")
+    rows = [(b, i, b) for b in range(50) for i in (2 * b, 2 * b + 1)] + [(1000, i, 0) for i in range(20)]
+    spark.createDataFrame(rows, "bucket bigint, id bigint, info bigint").write.parquet(path)
+    seen = Counter()
+
+    def verify(pairs):
+        seen.update((r.a, r.b) for r in pairs.collect())
+        return pairs.where("a % 4 = 0 and b = a + 1")
+
+    known = graph.linked(spark.read.parquet(path), verify, lambda a, b: F.lit(True))
+    assert set(seen.values()) == {1} and len(seen) == 40 + 20 * 19 // 2
+    assert {r.id for r in known.collect()} == {i for i in range(100) if i % 4 < 2}
+
+
+def test_line_tables_go_when_the_lines_are_known(spark, documents):
+    import os
+
+    folder = spark.conf.get("spark.checkpoint.dir") + "/lakeloom"
+    before = set(os.listdir(folder)) if os.path.isdir(folder) else set()
+    found = lines.dedup(documents([(i, f"the same line of words\nline {i} of its own", "en", "a") for i in range(9)]))
+    left = set(os.listdir(folder)) - before
+    assert [name.rsplit("-", 1)[0] for name in left] == ["lines-gone"]
+    assert sum(r.removed for r in found.collect()) >= 8
