@@ -367,3 +367,48 @@ def test_line_tables_go_when_the_lines_are_known(spark, documents):
     left = set(os.listdir(folder)) - before
     assert [name.rsplit("-", 1)[0] for name in left] == ["lines-gone"]
     assert sum(r.removed for r in found.collect()) >= 8
+
+
+def test_edits_by_words_are_never_fewer_than_the_distance(spark):
+    rng = random.Random(14)
+    vocabulary = [f"{c}{k}" for k in range(60) for c in ("word", "ü", "|")] + ["|", "the"] * 40
+    pairs = [(a, b) for _, a, b in edited_lines(rng, vocabulary)]
+    pairs += [(a, b) for (a, _), (_, b) in zip(pairs, pairs[1:], strict=False)]
+    pairs += [("a", "a"), ("a", "b c d e f g h"), ("a b c d e f g h", "i"), ("x" * 900, "y" * 900)]
+    df = spark.createDataFrame([(a, b, int(max(len(a), len(b)) * 0.2 + 1e-9)) for a, b in pairs], "a string, b string, most int")
+    rows = df.select("a", "b", "most", lines.word_edits("a", "b", "most").alias("edits")).collect()
+    true = [(r, levenshtein(r.a, r.b)) for r in rows]
+    assert all(r.edits >= min(d, r.most + 1) for r, d in true)
+    # Most lines that are alike are told so without their distance.
+    alike = [r.edits <= r.most for r, d in true if d <= r.most]
+    assert np.mean(alike) > 0.9
+
+
+def test_texts_are_normalised_line_by_line(spark):
+    rng = random.Random(15)
+    texts = ["".join(rng.choices("aÉΣ \t\n\n\x0b\f\r", k=rng.randint(0, 30))) for _ in range(500)] + ["ΑΣ\nΣΑ  Σ", "a b\nc"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for r in df.select("text", lines.normal(F.col("text")).alias("made")).collect():
+        assert r.made.split("\n") == [" ".join(x.lower().split()) for x in r.text.split("\n")]
+
+
+def test_common_words_make_no_candidates(spark, documents):
+    rng = random.Random(16)
+    common = ["the", "acknowledgements", "of", "nevertheless", "and", "consequently", "from", "to", "which"]
+    rows = [(k, [f"w{rng.randrange(10**9)}" for _ in range(9)] + common) for k in range(2000)]
+    docs = documents([(k, " ".join(words), "en", "a") for k, words in rows])
+    at = lines.located(docs).select("row.text", "file", "at")
+    found = lines.common_words(at)
+    assert sum(bin(b % 2**64).count("1") for b in found) == len(common)
+    df = spark.createDataFrame(rows, "id int, words array<string>")
+    made = lines.with_simhash(df, lines.OWN, "false", found).select("id", F.explode(lines.block_keys()).alias("bucket"))
+    pairs = made.groupBy("bucket").count().agg(F.sum(F.expr("count * (count - 1) div 2"))).first()[0]
+    assert pairs < 2000
+
+
+def test_a_documents_lines_are_split_once(spark, documents):
+    whole = "\n".join(f"line {i} of many lines in one text" if i % 7 else "the line again" for i in range(400))
+    found = lines.dedup(documents([(0, whole, "en", "a")]))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "get(split(" not in plan
+    assert found.first().removed >= 400 // 7
