@@ -406,6 +406,23 @@ def test_common_words_make_no_candidates(spark, documents):
     assert pairs < 2000
 
 
+def test_buckets_of_two_are_read_in_the_first_round_only(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "members")
+    rows = [(b, i, 0) for b in range(50) for i in (2 * b, 2 * b + 1)] + [(1000, i, 0) for i in range(20)]
+    spark.createDataFrame(rows, "bucket bigint, id bigint, info bigint").write.parquet(path)
+    torn = []
+
+    def written(df, label, whole=graph.materialize):
+        found = whole(df, label)
+        if label == "torn":
+            torn.append(found.count())
+        return found
+
+    monkeypatch.setattr(graph, "materialize", written)
+    graph.linked(spark.read.parquet(path), lambda pairs: pairs.where("a % 4 = 0 and b = a + 1"), lambda a, b: F.lit(True))
+    assert torn and max(torn) <= 20
+
+
 def test_a_documents_lines_are_split_once(spark, documents):
     whole = "\n".join(f"line {i} of many lines in one text" if i % 7 else "the line again" for i in range(400))
     found = lines.dedup(documents([(0, whole, "en", "a")]))
